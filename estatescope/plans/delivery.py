@@ -20,7 +20,7 @@ SPECS = {
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries to drop: every row but the first with its identifier in its table."""
     parts = [
-        dropped_deliveries(load(spark, sf_dir, name), spec).select(F.lit(name).alias("table_name"), F.col("row_id").cast("long"))
+        dropped_deliveries(load(spark, sf_dir, name), spec, partitions=16).select(F.lit(name).alias("table_name"), F.col("row_id").cast("long"))
         for name, spec in SPECS.items()
     ]
     return reduce(DataFrame.unionByName, parts)
