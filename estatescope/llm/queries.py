@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatescope.llm import components, encode, mixing, splitting, survivorship
+from estatescope.llm import components, encode, encoding_repair, mixing, near_duplicates, neighbours, splitting, survivorship
 from estatescope.sources.tables import load
 
 
@@ -19,6 +19,46 @@ def p1_golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivorship.golden_records(load(spark, sf_dir, "files"))
 
 
+def _repair(spark: SparkSession, sf_dir: str) -> encoding_repair.EncodingRepair:
+    return encoding_repair.EncodingRepair(load(spark, sf_dir, "files"), "id", ("text_excerpt", "full_path"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with a passage garbled by wrong decoding."""
+    return _repair(spark, sf_dir).found()
+
+
+def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled values with the original text given back."""
+    return _repair(spark, sf_dir).restored()
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of files of which one is among the five most similar of the other."""
+    return neighbours.similar_pairs(load(spark, sf_dir, "file_embeddings"), 5)
+
+
+def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most similar files of every file, with similarity and place."""
+    return neighbours.nearest(load(spark, sf_dir, "file_embeddings"), 5)
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> near_duplicates.NearDuplicates:
+    return near_duplicates.NearDuplicates(
+        load(spark, sf_dir, "files"), width=3, threshold=0.5, least_words=20, bands=40, rows_per_band=3
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of files with different excerpts that share half of their word triples."""
+    return _versions(spark, sf_dir).pairs()
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, class of copies and number of links of every excerpt."""
+    return _versions(spark, sf_dir).groups()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group identifier of every linked file."""
     return components.linked_files(load(spark, sf_dir, "files"), load(spark, sf_dir, "match_pairs"))
@@ -50,7 +90,9 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_golden_records": p1_golden_records, "p7_found": p7_found, "p8_ids": p8_ids,
+    "p1_found": p1_found, "p1_golden_records": p1_golden_records, "p2_found": p2_found,
+    "p2_restored": p2_restored, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found,
+    "p5_groups": p5_groups, "p7_found": p7_found, "p8_ids": p8_ids,
     "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
 
@@ -68,6 +110,16 @@ def _best(value: str, name: str) -> str:
 
 
 SQL = {
+    "p5_found": r"""
+        with w as (select id, list_filter(regexp_split_to_array(lower(text_excerpt), '[ \t\n\f\r]+'), lambda x: x <> '') as ws, text_excerpt as t
+                   from files where text_excerpt is not null),
+        d as (select min(id) as rep, t, any_value(ws) as ws from w where len(ws) >= 20 group by t),
+        g as (select distinct rep, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) as g from d),
+        n as (select rep, count(*) as n from g group by rep),
+        c as (select a.rep as a, b.rep as b, count(*) as s from g a join g b on a.g = b.g and a.rep < b.rep group by 1, 2),
+        p as (select a, b from c join n x on x.rep = a join n y on y.rep = b where s >= 0.5 * (x.n + y.n - s)),
+        m as (select d.rep, w.id from d join w on w.t = d.t)
+        select least(x.id, y.id) as id_a, greatest(x.id, y.id) as id_b from p join m x on x.rep = p.a join m y on y.rep = p.b""",
     "p1_found": f"""
         select min(id) as group_id, max(case when rn = 1 then id end) as survivor_id from (
           select digest, id, row_number() over (partition by digest order by {_RANK}) as rn from ({_HASHED}))
