@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatescope.llm import components, encode, encoding_repair, mixing, near_duplicates, neighbours, splitting, survivorship
+from estatescope.llm import components, encode, encoding_repair, mixing, near_duplicates, neighbours, scan_repair, splitting, survivorship
 from estatescope.sources.tables import load
 
 
@@ -43,6 +43,16 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(load(spark, sf_dir, "file_embeddings"), 5)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose excerpt has a trace of scanning."""
+    return scan_repair.ScanRepair(load(spark, sf_dir, "files")).found()
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces of scanning and the excerpt repaired into paragraphs."""
+    return scan_repair.ScanRepair(load(spark, sf_dir, "files")).repaired()
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> near_duplicates.NearDuplicates:
     return near_duplicates.NearDuplicates(
         load(spark, sf_dir, "files"), width=3, threshold=0.5, least_words=20, bands=40, rows_per_band=3
@@ -91,7 +101,8 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_golden_records": p1_golden_records, "p2_found": p2_found,
-    "p2_restored": p2_restored, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found,
+    "p2_restored": p2_restored, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found,
+    "p4_repaired": p4_repaired, "p5_found": p5_found,
     "p5_groups": p5_groups, "p7_found": p7_found, "p8_ids": p8_ids,
     "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
