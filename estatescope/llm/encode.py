@@ -35,18 +35,15 @@ def _blocks(key: str, block_chars: int):
     """Arrow map: (key, words) batches to one row per block."""
 
     def close(keys: list, parts: list, seq: Iterator[int]) -> pa.RecordBatch:
-        chunked = pa.chunked_array([p.flatten() for p in parts], pa.large_string())
         lens = np.concatenate([np.asarray(pc.list_value_length(p)) for p in parts]).astype(np.int32)
-        coded = chunked.dictionary_encode().combine_chunks()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.chunk(0)
+        coded = pa.concat_arrays([p.flatten() for p in parts]).dictionary_encode()
         slots = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         block = (TaskContext.get().partitionId() << 32) + next(seq)
         packed = pa.compress(slots.tobytes(), "zstd", asbytes=True) if len(slots) else b""
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
-                pa.array([np.concatenate(keys).tolist()], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array([0, len(lens)], pa.int32()), pa.concat_arrays(keys)),
                 pa.array([lens.tolist()], pa.list_(pa.int32())),
                 pa.array([packed], pa.binary()),
                 pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
@@ -60,11 +57,11 @@ def _blocks(key: str, block_chars: int):
         for batch in batches:
             words = batch.column("words").cast(pa.list_(pa.large_string()))
             size = np.add.accumulate(np.asarray(batch.column("chars")).astype(np.int64))
-            ids = np.asarray(batch.column(key))
+            ids = batch.column(key)
             start, base = 0, 0
             while start < len(ids):
                 stop = min(len(ids), max(start + 1, int(np.searchsorted(size, base + block_chars - chars, "right"))))
-                keys.append(ids[start:stop])
+                keys.append(ids.slice(start, stop - start))
                 parts.append(words.slice(start, stop - start))
                 chars += int(size[stop - 1]) - base
                 start, base = stop, int(size[stop - 1])
