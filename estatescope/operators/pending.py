@@ -38,6 +38,12 @@ def is_captionable() -> Column:
     return F.lower("file_type").isin(*CAPTION_TYPES)
 
 
+def is_undecided_picture() -> Column:
+    """Hashed pictures marked as not in need of OCR, which a second check may look at."""
+    kind = F.lower(F.element_at(F.split("full_path", r"\."), -1))
+    return (F.col("ocr_needed") == F.lit(False)) & kind.isin(*DETECTOR_TYPES, "webp") & F.col("xxhash64").isNotNull()
+
+
 def ready_for_etl() -> Column:
     return F.col("hash_pending") == F.lit(False)
 
@@ -76,6 +82,11 @@ def pending_images(files: DataFrame, task_map: DataFrame, canonical_only: bool =
     return out.join(task_map.select(F.col("file_id").alias("id")), "id", "left_anti")
 
 
+def undecided_pictures(files: DataFrame) -> DataFrame:
+    """The first file of every hash among the pictures a second check may look at."""
+    return first_per_hash(files.where(is_undecided_picture()))
+
+
 def first_per_hash(df: DataFrame, key: str = "xxhash64") -> DataFrame:
     """The row of smallest id of every key; all null keys form one group."""
     best = df.groupBy(key).agg(F.min("id").alias("id"))

@@ -139,7 +139,7 @@ QUERIES = {
     "excerpt_cap": excerpt_cap, "safe_values": safe_values, "csv_flag_parse": csv_flag_parse, "classification_prompts": classification_prompts,
     "pending_pdf": _simple(pending.pending_pdf), "pending_hash": _simple(pending.pending_hash), "large_files": _simple(pending.large_files),
     "pending_text": _simple(pending.pending_text), "pending_ocr": _simple(pending.pending_ocr), "pending_classify": _simple(pending.pending_classify),
-    "image_candidates": _simple(pending.image_candidates), "pending_images": pending_images, "pending_images_to_send": pending_images_to_send,
+    "image_candidates": _simple(pending.image_candidates), "undecided_pictures": _simple(pending.undecided_pictures), "pending_images": pending_images, "pending_images_to_send": pending_images_to_send,
     "next_batch": next_batch, "pending_counts": pending_counts, "distinct_on_hash": distinct_on_hash, "chunk_numbers": chunk_numbers,
     "scan_upsert": scan_upsert, "apply_hashes": apply_hashes, "apply_results": apply_results, "insert_if_absent": insert_if_absent,
 }
@@ -185,6 +185,8 @@ SQL = {
     "pending_classify": f"select id from files where {_CLASS}",
     "image_candidates": rf"""select min(id) as id from files where (ocr_needed = false and (lower(regexp_extract(full_path, '.+\.([^.]+)$', 1)) in {_DETECT}))
         or lower(file_type) in {_DETECT_DOT} group by xxhash64""",
+    "undecided_pictures": """select min(id) as id from files where ocr_needed = false and xxhash64 is not null
+        and lower(list_extract(string_split(full_path, '.'), -1)) in ('jpg', 'jpeg', 'png', 'tif', 'tiff', 'bmp', 'webp') group by xxhash64""",
     "pending_images": f"select id from files where {_CAPTION} and canonical_id is null and {_UNSENT}",
     "pending_images_to_send": f"select id from files where {_CAPTION} and {_UNSENT}",
     "next_batch": f"select id, full_path from files where {_CAPTION} and {_UNSENT} order by id limit 500",

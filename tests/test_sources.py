@@ -140,3 +140,23 @@ def test_pipeline_cancel(spark):
     run = p.start().body["run_id"]
     assert p.start().code == 400
     assert p.wait(run, 30) == "cancelled" and p.status(run).body["status"] == "cancelled"
+
+
+def test_listing_and_messages_by_id(spark, tmp_path):
+    tree(tmp_path / "t")
+    made = queues.send_listing(walker.walk(spark, str(tmp_path / "t")), "ocr", "t", str(tmp_path / "q"))
+    sent = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "q/cola_modelo_ocr")).collect()]
+    assert len(sent) == 6 and {m["message_id"] for m in sent} == {r.message_id for r in made.collect()}
+    queues.write_by_id(made.select("message_id", "value"), str(tmp_path / "by"))
+    assert spark.read.json(str(tmp_path / "by")).count() == 6
+
+
+def test_stream_duplicates_and_windows(spark, tmp_path):
+    folder = tmp_path / "in"
+    spark.sql("""select * from values ('c1', 'm', 'success', timestamp'2024-01-01 00:10:00'), ('c1', 'm', 'success', timestamp'2024-01-01 00:20:00'),
+        ('c2', 'm', 'error', timestamp'2024-01-01 01:05:00') as t(correlation_id, model, status, received_at)""").write.parquet(str(folder))
+    stream = lambda: spark.readStream.schema(spark.read.parquet(str(folder)).schema).parquet(str(folder))
+    for name, df, mode in (("dedup", reconcile.deduplicated(stream()), "append"), ("rates", reconcile.answer_rates(stream()), "complete")):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
+    assert {r.correlation_id for r in spark.table("dedup").collect()} == {"c1", "c2"} and spark.table("dedup").count() == 2
+    assert sorted(r.n for r in spark.table("rates").collect()) == [1, 2]
