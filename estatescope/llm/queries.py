@@ -55,7 +55,7 @@ def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _versions(spark: SparkSession, sf_dir: str) -> near_duplicates.NearDuplicates:
     return near_duplicates.NearDuplicates(
-        load(spark, sf_dir, "files"), width=3, threshold=0.5, least_words=20, bands=40, rows_per_band=3
+        load(spark, sf_dir, "files"), width=3, threshold=0.5, least_words=20, bands=50, rows_per_band=3
     )
 
 
