@@ -121,6 +121,11 @@ def _best(value: str, name: str) -> str:
 
 
 SQL = {
+    "p3_found": """
+        with v as (select file_id as id, min(embedding)::double[] as e from file_embeddings where len(embedding) = 384
+            and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0)) group by 1),
+        r as (select a.id as a, b.id as b, row_number() over (partition by a.id order by list_cosine_similarity(a.e, b.e) desc, b.id) as place from v a join v b on a.id <> b.id)
+        select distinct least(a, b) as id_a, greatest(a, b) as id_b from r where place <= 5""",
     "p5_found": r"""
         with w as (select id, list_filter(regexp_split_to_array(lower(text_excerpt), '[ \t\n\f\r]+'), lambda x: x <> '') as ws, text_excerpt as t
                    from files where text_excerpt is not null),
