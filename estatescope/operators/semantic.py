@@ -1,14 +1,22 @@
-"""Files close to each other by embedding: exact search of a stated query set, and clustering."""
+"""Files close to each other by embedding: exact search of a stated query set, and clustering of the whole table."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatescope import workspace
+from estatescope.operators.components import components
+
 #: Rows per block of the searched side and of the query side.
 BLOCK_ROWS, QUERY_ROWS = 32_768, 2_048
+#: Vectors per cell aimed at when all are held against all, and most rows of one side of a task.
+CELL_ROWS, PART_ROWS = 4_000, 8_192
 
 
 def files_with_embeddings(files: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -102,6 +110,203 @@ def semantic_edges(files: DataFrame, embeddings: DataFrame, threshold: float = 0
     return _blocks(queries, rows, dims, best).withColumn("similarity", F.round("similarity", 6))
 
 
+def _unit(column: pa.Array, dims: int) -> np.ndarray:
+    x = np.asarray(column.flatten()).astype(np.float64).reshape(-1, dims)
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, kind, digest): 16 bytes that equal vectors share."""
+    for batch in batches:
+        column = batch.column("embedding")
+        rows = np.asarray(column.flatten()).reshape(len(column), -1) + 0.0
+        digests = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("kind"), pa.array(digests, pa.binary())], ["id", "kind", "digest"])
+
+
+class _Cells:
+    """Cells around pivots; a vector at home in one is a guest of every earlier cell that may hold something within reach.
+
+    Whatever lies nearest to pivot c is beyond the plane halfway to c, and within the
+    largest angle of c's own vectors: what is further from either than the reach has no
+    partner there. The pivots only decide the work, never the result.
+    """
+
+    def __init__(self, pivots: np.ndarray, threshold: float):
+        self.pivots, self.threshold, self.angle = pivots, threshold, np.full(len(pivots), np.pi)
+        # a smaller gap only lets more guests in
+        self.gap = np.sqrt(np.maximum(2.0 - 2.0 * pivots @ pivots.T, 1e-12))
+
+    def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        score = np.clip(x @ self.pivots.T, -1.0, 1.0)
+        return score, score.argmax(axis=1)
+
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, whether it is the row's home) of every place a row is sent to."""
+        score, home = self.home(x)
+        beyond = (score.max(axis=1, keepdims=True) - score) / self.gap[home] <= np.sqrt(2.0 - 2.0 * self.threshold) + 1e-6
+        beyond &= np.arccos(score) <= self.angle[None, :] + np.arccos(self.threshold) + 1e-6
+        beyond &= np.arange(len(self.pivots))[None, :] < home[:, None]
+        beyond[np.arange(len(x)), home] = True
+        row, cell = np.nonzero(beyond)
+        return row, cell, home[row] == cell
+
+
+def _measure(cells: _Cells, dims: int, guests: bool):
+    """Arrow map: (cell, n, angle), rows sent to each cell and the widest angle of those at home, per batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _unit(batch.column("embedding"), dims)
+            score, home = cells.home(x)
+            cell = cells.places(x)[1] if guests else home
+            n = np.bincount(cell, minlength=len(cells.pivots))
+            angle = np.zeros(len(n))
+            np.maximum.at(angle, home, np.arccos(score.max(axis=1, initial=-1.0)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n)), pa.int32()), pa.array(n, pa.int64()), pa.array(angle)], ["cell", "n", "angle"])
+
+    return run
+
+
+def _send(cells: _Cells, splits: np.ndarray, dims: int):
+    """Arrow map: rows to the tasks that compare them. A cell of s parts has a task for every two parts."""
+    first = np.concatenate([[0], np.cumsum(splits * splits)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, cell, home = cells.places(_unit(batch.column("embedding"), dims))
+            ids = np.asarray(batch.column("id"))[row]
+            s = splits[cell]
+            part = (ids * 2654435761 % 2**32) % s
+            at = np.repeat(np.arange(len(row)), s)
+            other = np.arange(len(at)) - np.repeat(np.cumsum(s) - s, s)
+            low, high = np.minimum(part[at], other), np.maximum(part[at], other)
+            task = first[cell[at]] + low * s[at] + high
+            side = np.where(low == high, 2, (part[at] == high).astype(int))
+            take = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(task, pa.int64()), pa.array(side, pa.int32()), pa.array(home[at]), *(batch.column(c).take(take) for c in ("id", "kind", "embedding"))],
+                ["task", "side", "home", "id", "kind", "embedding"],
+            )
+
+    return run
+
+
+def _compare(threshold: float, dims: int, forest: bool):
+    """Arrow group map: pairs of one task at the threshold; with ``forest`` only as many as link what they link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids, side = np.asarray(table.column("id")), np.asarray(table.column("side"))
+        home = table.column("home").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        kinds = table.column("kind").to_pylist()
+        codes = {k: n for n, k in enumerate(dict.fromkeys(kinds))}
+        kind, unknown = np.array([codes[k] for k in kinds], np.int64), np.array([k is None for k in kinds], bool)
+        x = _unit(table.column("embedding").combine_chunks(), dims)
+        y = x.astype(np.float32)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        label = np.arange(len(ids))
+        out = []
+        for start in range(0, len(left), 512):
+            a = left[start : start + 512]
+            near = y[a] @ y[right].T >= threshold - 1e-4
+            near &= home[a][:, None] | home[right][None, :]
+            near &= (kind[a][:, None] == kind[right][None, :]) | unknown[a][:, None] | unknown[right][None, :]
+            i, j = np.nonzero(near)
+            i, j = a[i], right[j]
+            once = (side[i] != 2) | (i < j)
+            i, j = i[once], j[once]
+            for at in range(0, len(i), 100_000):
+                p, q = i[at : at + 100_000], j[at : at + 100_000]
+                distance = np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", x[p], x[q]), 0.0))
+                similarity = np.clip(1.0 - distance * distance / 2, -1.0, 1.0)
+                fine = similarity >= threshold
+                p, q, similarity = p[fine], q[fine], similarity[fine]
+                if forest and len(p):
+                    keep = []
+                    for row in np.split(np.arange(len(p)), np.flatnonzero(p[1:] != p[:-1]) + 1):
+                        met, where = np.unique(label[q[row]], return_index=True)
+                        new = met != label[p[row[0]]]
+                        if new.any():
+                            keep.append(row[where[new]])
+                            label[np.isin(label, met)] = label[p[row[0]]]
+                    kept = np.concatenate(keep) if keep else np.zeros(0, np.int64)
+                    p, q, similarity = p[kept], q[kept], similarity[kept]
+                out.append((ids[p], ids[q], similarity))
+        a, b, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
+
+    return run
+
+
+def _canonical(files: DataFrame, embeddings: DataFrame, dims: int) -> DataFrame:
+    """(id, kind, embedding) of every canonical file with a usable vector, once."""
+    kinds = files.where("canonical_id is null and id is not null").groupBy("id").agg(F.min(F.lower("file_type")).alias("kind"))
+    return kinds.join(usable_vectors(embeddings, dims).withColumnRenamed("file_id", "id"), "id").select("id", "kind", "embedding")
+
+
+def _all_pairs(rows: DataFrame, threshold: float, dims: int, forest: bool, cell_rows: int, part_rows: int) -> DataFrame:
+    """(a, b, similarity) of all rows at the threshold or above, each pair once; ``rows`` is a written table."""
+    total = rows.count()
+    # one vector for every cell_rows rows
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(max(1, -(-total // cell_rows))).select("embedding").toArrow()
+    pivots = _unit(picked.column("embedding").combine_chunks(), dims) if picked.num_rows else np.eye(1, dims)
+    cells = _Cells(pivots, threshold)
+    splits = np.ones(len(pivots), np.int64)
+    for guests in (False, True):
+        # one row per cell
+        measured = rows.mapInArrow(_measure(cells, dims, guests), "cell int, n long, angle double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("angle").alias("angle")).collect()
+        for r in measured:
+            cells.angle[r["cell"]], splits[r["cell"]] = r["angle"], max(1, -(-r["n"] // part_rows))
+    sent = rows.mapInArrow(_send(cells, splits, dims), "task long, side int, home boolean, id long, kind string, embedding array<" + rows.schema["embedding"].dataType.elementType.simpleString() + ">")
+    return sent.groupBy("task").applyInArrow(_compare(threshold, dims, forest), "a long, b long, similarity double")
+
+
+def nearest_edges(files: DataFrame, embeddings: DataFrame, threshold: float = 0.9, k: int = 20, dims: int = 384) -> DataFrame:
+    """(id, other, similarity) of every canonical file and those of its k nearest (itself counted) at the threshold."""
+    rows = workspace.materialize(_canonical(files, embeddings, dims), "vectors")
+    pairs = workspace.materialize(_all_pairs(rows, threshold, dims, False, CELL_ROWS, PART_ROWS), "pairs")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
+    kinds = rows.select("id", "kind")
+    seen = both.join(kinds.toDF("a", "kind_a"), "a").join(kinds.toDF("b", "kind_b"), "b").where("kind_b is null or kind_b = coalesce(kind_a, '')")
+    own = kinds.where("kind is null or kind = coalesce(kind, '')").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    distance = F.round(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("similarity"))), 9)
+    ranked = seen.select("a", "b", "similarity").unionByName(own).groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(distance.alias("d"), "b", "similarity"))), 1, k).alias("n"))
+    listed = ranked.select(F.col("a").alias("id"), F.explode("n").alias("n")).select("id", F.col("n.b").alias("other"), F.round("n.similarity", 6).alias("similarity"))
+    return listed.where("id <> other")
+
+
+def connected_clusters(
+    files: DataFrame, embeddings: DataFrame, threshold: float = 0.9, dims: int = 384, cell_rows: int = CELL_ROWS, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """(id, is_canonical, canonical_id) of all canonical files that are linked at the threshold, directly or through others.
+
+    Every canonical file with a usable vector is held against every other of its type,
+    or of unknown type. Files of one type and vector are one row until the end.
+    """
+    from estatescope.operators.dedup import preference
+
+    every = workspace.materialize(_canonical(files, embeddings, dims), "vectors")
+    digests = workspace.materialize(every.mapInArrow(_digest, "id long, kind string, digest binary"), "digests")
+    least = digests.groupBy("kind", "digest").agg(F.min("id").alias("rep"))
+    classes = digests.join(least.withColumnRenamed("kind", "k").withColumnRenamed("digest", "d"), F.col("kind").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")))
+    classes = workspace.materialize(classes.select("id", "rep"), "classes")
+    rows = workspace.materialize(every.join(classes.where("id = rep").select("id"), "id", "left_semi"), "vectors")
+    workspace.discard(every)
+    # written once: which pairs link a task's rows depends on the order they arrive in
+    pairs = workspace.materialize(_all_pairs(rows, threshold, dims, True, cell_rows, part_rows).select("a", "b"), "pairs")
+    # a copy hangs on the first of its class, so no round of the components sees a class as a hub
+    linked = components(pairs)
+    big = classes.groupBy("rep").agg(F.count("*").alias("n"))
+    named = big.join(linked.withColumnRenamed("id", "rep"), "rep", "left").where("n > 1 or group_id is not null")
+    groups = classes.join(named.select("rep", F.coalesce("group_id", "rep").alias("group_id")), "rep").select("id", "group_id")
+    ranked = files.where("canonical_id is null").groupBy("id").agg(F.max(preference()).alias("r")).join(groups, "id")
+    heads = ranked.groupBy("group_id").agg((-F.max("r")["i"]).alias("head"))
+    out = groups.join(heads, "group_id")
+    return out.select("id", (F.col("id") == F.col("head")).alias("is_canonical"), F.when(F.col("id") != F.col("head"), F.col("head")).alias("canonical_id"))
+
+
 def greedy_clusters(edges: DataFrame, files: DataFrame, most_edges: int = 5_000_000) -> DataFrame:
     """(id, is_canonical, canonical_id) by the order-dependent clustering: seeds in id order take their
     neighbours, a later seed may take a file over, clusters of one are none.

@@ -68,9 +68,14 @@ def semantic_edges(spark, sf_dir):
 
 
 def semantic_clusters(spark, sf_dir):
-    """Order-dependent clusters over the edges of the query files."""
+    """Connected clusters of all canonical files."""
+    return semantic.connected_clusters(load(spark, sf_dir, "files"), load(spark, sf_dir, "file_embeddings"), 0.9)
+
+
+def semantic_clusters_greedy(spark, sf_dir):
+    """Order-dependent clusters, every canonical file a seed in id order."""
     files = load(spark, sf_dir, "files")
-    return semantic.greedy_clusters(semantic.semantic_edges(files, load(spark, sf_dir, "file_embeddings"), 0.9), files)
+    return semantic.greedy_clusters(semantic.nearest_edges(files, load(spark, sf_dir, "file_embeddings"), 0.9), files)
 
 
 QUERIES = {
@@ -87,6 +92,7 @@ QUERIES = {
     "dash_temporal": _on_files(dashboards.temporal), "dash_previews": _on_files(dashboards.previews), "dash_size_type": _on_files(dashboards.size_by_type),
     "kpi_overview": _on_files(dashboards.kpis), "l2_to_cosine": l2_similarity, "files_with_embeddings": files_with_embeddings,
     "knn_topk": knn_topk, "semantic_edges": semantic_edges, "semantic_clusters": semantic_clusters,
+    "semantic_clusters_greedy": semantic_clusters_greedy,
 }
 
 _S = r"coalesce(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '')"

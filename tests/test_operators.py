@@ -103,6 +103,36 @@ def test_greedy_clusters(spark):
     assert got == {1: (False, 2), 2: (False, 4), 3: (False, 4), 4: (True, None)}
 
 
+def test_connected_clusters_of_all_files(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 8))[rng.integers(0, 60, 400)] + 0.18 * rng.normal(size=(400, 8))
+    x[100:130] = x[100]
+    kinds = [None if i % 40 == 0 else (".pdf", ".txt")[i % 2] for i in range(400)]
+    files = spark.createDataFrame([(i + 1, kinds[i], i % 7) for i in range(400)], "id long, file_type string, size_bytes long").select(
+        "*", F.lit(None).cast("long").alias("canonical_id"), F.lit(False).alias("is_pdf"), F.lit(False).alias("ocr_needed"), F.lit(1).alias("modification_year"), F.lit(1).alias("depth")
+    )
+    vectors = spark.createDataFrame([(i + 1, [float(v) for v in x[i]]) for i in range(400)], "file_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    near &= np.array([[a == b or a is None or b is None for b in kinds] for a in kinds])
+    group = np.arange(400)
+    while True:
+        after = np.where(near, group[None, :], 400).min(axis=1)
+        if (after == group).all():
+            break
+        group = after
+    sizes = np.bincount(group)
+    want = {i + 1: group[i] for i in range(400) if sizes[group[i]] > 1}
+    heads = {g: max((j for j in want if want[j] == g), key=lambda j: ((j - 1) % 7, -j)) for g in set(want.values())}
+    # small cells and parts, so that guests and split cells occur
+    for cell_rows, part_rows in ((20, 15), (4000, 8192)):
+        rows = semantic.connected_clusters(files, vectors, 0.9, 8, cell_rows, part_rows).collect()
+        got = {r.id: r.id if r.is_canonical else r.canonical_id for r in rows}
+        assert len(rows) == len(got) and got == {i: heads[g] for i, g in want.items()}
+
+
 def test_tasks_and_routing(spark):
     files = spark.createDataFrame([(1, "/a")], "id long, full_path string")
     made = messages.build_tasks(files, "OCR", "t", "p").first()
