@@ -23,10 +23,10 @@ from estatescope.llm import scan_text
 from estatescope.llm.bitmap import contains, gather, word_hash
 from estatescope.llm.dart import mix64
 
-#: Small-letter occurrences that make a word part of the vocabulary, and how much more frequent a
-#: vocabulary word must be than what may be its misreading.
+#: Small-letter occurrences that make a word part of the vocabulary, and how much more frequent, by distinct
+#: texts or by occurrences, a vocabulary word must be than what may be its misreading.
 LEAST, RATIO = 20, 30
-#: Occurrences from which two neighbouring words count as seen together.
+#: Distinct texts from which two neighbouring words count as seen together.
 LEAST_PAIRS = 3
 #: Probability that a word with a much more frequent look-alike is a word of its own, and that one with
 #: digits among its letters is.
@@ -55,14 +55,24 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a batch in small letters, with how often they occur and occur so written."""
+    """Words of distinct texts in small letters: occurrences in all copies, those so written, and how many texts hold them."""
     for batch in batches:
-        coded = batch.column("words").flatten().dictionary_encode()
-        n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
+        column = batch.column("words")
+        coded = column.flatten().dictionary_encode()
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(column)))
+        copies = np.asarray(batch.column("copies"))[row]
         seen = coded.dictionary.to_pylist()
-        small = [w.lower() for w in seen]
-        low = np.array([k if w[0].islower() else 0 for w, k in zip(seen, n)], np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(small, pa.string()), pa.array(n, pa.int64()), pa.array(low, pa.int64())], ["word", "n", "low"])
+        small: dict[str, int] = {}
+        of = np.array([small.setdefault(w.lower(), len(small)) for w in seen], np.int64)
+        begins = np.array([w[0].islower() for w in seen], bool)
+        word = of[index] if len(index) else np.zeros(0, np.int64)
+        n = np.bincount(word, copies, len(small))
+        low = np.bincount(word, copies * begins[index] if len(index) else copies, len(small))
+        d = np.bincount(np.unique(row * max(len(small), 1) + word) % max(len(small), 1), minlength=len(small))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(small), pa.string()), *(pa.array(x[: len(small)].astype(np.int64)) for x in (n, low, d))], ["word", "n", "low", "d"]
+        )
 
 
 def _candidates(bitmap: np.ndarray):
@@ -71,18 +81,18 @@ def _candidates(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            for word, n, d in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "d"))):
                 if not SHORTEST <= len(word) <= 60:
                     continue
                 made = scan_text.candidates(word)
                 if made:
                     for (printed, how), ok in zip(made, contains(bitmap, _hashes([p for p, _ in made]))):
                         if ok:
-                            rows.append((word, n, printed, how))
-            cols = list(zip(*rows)) or [[]] * 4
+                            rows.append((word, n, d, printed, how))
+            cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.string()))],
-                ["seen", "n_seen", "printed", "how"],
+                [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))],
+                ["seen", "all_seen", "n_seen", "printed", "how"],
             )
 
     return run
@@ -155,7 +165,7 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_pairs(bitmap: np.ndarray):
-    """Arrow map: (h, n) of the neighbouring words of the corpus that may be needed."""
+    """Arrow map: (h, n) of the neighbouring words that may be needed, and how many texts hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,8 +177,15 @@ def _count_pairs(bitmap: np.ndarray):
                 continue
             word = table[index]
             row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(column)))
-            h = _pair(word[:-1], word[1:])[row[:-1] == row[1:]]
-            h, n = np.unique(h[contains(bitmap, h)], return_counts=True)
+            inside = row[:-1] == row[1:]
+            h, row = _pair(word[:-1], word[1:])[inside], row[:-1][inside]
+            wanted = contains(bitmap, h)
+            h, row = h[wanted], row[wanted]
+            order = np.lexsort((row, h))
+            h, row = h[order], row[order]
+            once = np.ones(len(h), bool)
+            once[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+            h, n = np.unique(h[once], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
 
     return run
@@ -243,18 +260,22 @@ class ScanRepair:
     def __init__(self, df: DataFrame, key: str = "id", text: str = "text_excerpt"):
         texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text <> ''")
         worded = texts.select("id", _words(F.col("text")).alias("words"))
-        counts = worded.select("words").mapInArrow(_count, "word string, n long, low long")
+        # copies of a text, and repetition within it, are no evidence of their own
+        distinct = workspace.materialize(texts.groupBy("text").agg(F.count("*").alias("copies")).select(_words(F.col("text")).alias("words"), "copies"), "distinct")
+        counts = distinct.mapInArrow(_count, "word string, n long, low long, d long")
         vocabulary = workspace.materialize(
-            counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("low").alias("low")), "vocabulary"
+            counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "low", "d")]), "vocabulary"
         )
-        total = float(vocabulary.agg(F.sum("n")).first()[0] or 1)
+        total = float(vocabulary.agg(F.sum("d")).first()[0] or 1)
         printed = vocabulary.where(F.col("low") >= LEAST)
         bitmap = gather(printed.select("word").mapInArrow(_hash_words, "h long"))
-        possible = vocabulary.where(F.length("word") >= SHORTEST).select("word", "n").mapInArrow(
-            _candidates(bitmap), "seen string, n_seen long, printed string, how string"
+        possible = vocabulary.where(F.length("word") >= SHORTEST).select("word", "n", "d").mapInArrow(
+            _candidates(bitmap), "seen string, all_seen long, n_seen long, printed string, how string"
         )
-        matched = possible.join(printed.select(F.col("word").alias("printed"), F.col("n").alias("n_printed")), "printed")
-        table = workspace.materialize(matched.where(F.col("n_printed") >= RATIO * F.col("n_seen")), "misread")
+        matched = possible.join(printed.select(F.col("word").alias("printed"), F.col("n").alias("all_printed"), F.col("d").alias("n_printed")), "printed")
+        # by texts or by occurrences: a misreading has few texts whatever their copies, a printed word may stand in few
+        often = (F.col("n_printed") >= RATIO * F.col("n_seen")) | (F.col("all_printed") >= RATIO * F.col("all_seen"))
+        table = workspace.materialize(matched.where(often).drop("all_seen", "all_printed"), "misread")
         # how often each confusion explains a word: one row per confusion
         one = table.where(~F.contains(F.col("how"), F.lit(","))).groupBy("how").agg(F.sum("n_seen").alias("n")).collect()
         share = {int(r["how"]): r["n"] for r in one}
@@ -277,7 +298,7 @@ class ScanRepair:
             self._marked.where("entries is not null").mapInArrow(_needed, "id long, h long"), "needed"
         )
         wanted = gather(needed)
-        counted = worded.select("words").mapInArrow(_count_pairs(wanted), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        counted = distinct.select("words").mapInArrow(_count_pairs(wanted), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         pairs = needed.join(counted, "h").groupBy("id").agg(F.collect_list(F.struct("h", "n")).alias("pairs"))
         self._decoded = self._marked.join(pairs, "id", "left").mapInArrow(
             _decode(total),

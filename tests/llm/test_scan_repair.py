@@ -36,3 +36,13 @@ def test_operator(spark):
     text = {r.id: r.text for r in got}
     assert text[1] == "El informe mensual del contrato" and text[2] == "El informe mensual" and text[3] == "El informe mensual"
     assert text[4] == "El contrato especial aprueba" and text[5] == "obra de Neltor"
+
+
+def test_copies_of_a_misread_text(spark):
+    clean = "El informe mensual del contrato especial aprueba la inspección general de la obra"
+    rows = [(i, f"{clean} {'abcdefghij'[i % 10] * 5}{'klmnopqrst'[i // 10 % 10] * 5}") for i in range(100)]
+    copies = [(1000 + i, "El inforrne mensual del contrato cspecial") for i in range(300)]
+    repeated = [(2000, "el inforrne mensual " * 40)]
+    got = {r.id: r.text for r in ScanRepair(spark.createDataFrame(rows + copies + repeated, "id long, text_excerpt string")).repaired().collect()}
+    assert sorted(got) == [*range(1000, 1300), 2000]
+    assert got[1000] == "El informe mensual del contrato especial" and "rrn" not in got[2000]
