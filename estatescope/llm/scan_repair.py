@@ -38,8 +38,11 @@ _WORD = r"\p{L}[\p{L}\p{N}@]*|[\p{Nd}@][\p{L}\p{N}@]*\p{L}[\p{L}\p{N}@]*"
 #: Lines that may be traces; decided line by line afterwards.
 _LAYOUT = (
     r"(?i)\p{L}[ \t]?[-¬­‐][ \t]*\r?\n|(?m)^\s*(?:p\. ?\d{1,4}|[—–-] ?\d{1,4} ?[—–-]|(?:página|page|pág\.|pag\.)\s*\d.*"
-    r"|\d{1,4}(?:\s?/\s?\d{1,4})?|\[\d{1,4}\]|[ivxlc]{2,7})\s*$"
+    r"|\d{1,4}(?:\s?/\s?\d{1,4})?|\[\d{1,4}\]|[ivxlc]{2,7}"
+    r"|([^\x00-\x7F]{1,6}) ?\d{1,4} ?\1|p[^\x00-\x7F]{1,6}gina\s*\d{1,4}(?:\s*(?:de|/)\s*\d{1,4})?)\s*$"
 )
+#: Lines that may be running headers without a page number: within a sentence, or after a form feed.
+_HEADER = r"[\p{Ll},][ \t\r]*\n(?:[^\n\p{Ll}]{5,62}|[^\n]{0,60} · [^\n]{0,60})\n\s*\p{Ll}|\n\f"
 
 
 def _words(text: Column) -> Column:
@@ -203,8 +206,9 @@ def _decode(total: float):
                 lines = text.replace("\r\n", "\n").split("\n")
                 pages = scan_text.page_lines(lines)
                 cuts = scan_text.cut_words(text)
-                if fixes or pages or cuts:
-                    rows.append((key, cuts, len(pages), len(scan_text.header_lines(lines, pages)), sorted(fixes.items()), scan_text.repair(text, fixes)))
+                headers = scan_text.header_lines(lines, pages)
+                if fixes or pages or cuts or headers:
+                    rows.append((key, cuts, len(pages), len(headers), sorted(fixes.items()), scan_text.repair(text, fixes)))
             cols = list(zip(*rows)) or [[]] * 6
             words = pa.list_(pa.struct([("seen", pa.string()), ("printed", pa.string())]))
             fixed = [[{"seen": a, "printed": b} for a, b in x] for x in cols[4]]
@@ -291,7 +295,7 @@ class ScanRepair:
         each = joined.select("id", "seen", "odd", F.explode_outer("options").alias("e"))
         entry = F.struct("seen", "odd", *[F.col(f"e.{c}").alias(c) for c in ("printed", "channel", "n_seen", "n_printed")])
         entries = each.groupBy("id").agg(F.collect_set(entry).alias("entries"))
-        layout = texts.withColumn("layout", F.col("text").rlike(_LAYOUT))
+        layout = texts.withColumn("layout", F.col("text").rlike(_LAYOUT) | F.col("text").rlike(_HEADER))
         marked = layout.join(entries, "id", "left").where("layout or entries is not null").select("id", "text", "entries")
         self._marked = workspace.materialize(marked.dropDuplicates(["id"]), "marked")
         needed = workspace.materialize(

@@ -27,7 +27,7 @@ CUT = re.compile(rf"([^\W\d_]+)[ \t]?{_HYPHEN}[ \t]*\r?\n[ \t]*([^\W\d_]+)")
 _ROMAN = re.compile(r"(?=[ivxlc])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _PAGE = re.compile(
     r"(?:p\. ?\d{1,4}|[—–-] ?\d{1,4} ?[—–-]|(?:página|page|pág\.|pag\.)\s*\d{1,4}(?:\s*(?:de|of|sur|/)\s*\d{1,4})?"
-    r"|\d{1,4}\s?/\s?\d{1,4}|\[\d{1,4}\])",
+    r"|\d{1,4}\s?/\s?\d{1,4}|\[\d{1,4}\]|([^\x00-\x7f]{1,6}) ?\d{1,4} ?\1|p[^\x00-\x7f]{1,6}gina\s*\d{1,4}(?:\s*(?:de|/)\s*\d{1,4})?)",
     re.I,
 )
 _UPPER = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2,}(?: [^\W\d_a-zß-öø-ÿ]{2,})+")
@@ -71,7 +71,8 @@ def page_lines(lines: list[str]) -> list[int]:
     """Numbers of the lines that are page numbers: alone on their line, text before and after.
 
     A bare number counts where a running header follows or where it grows, by at most
-    three, from or to another bare number of the text; roman numerals from two letters on.
+    three, from or to another bare number of the text, or where it parts running text;
+    years (19xx, 20xx) are no page numbers; roman numerals from two letters on.
     """
     marked, bare = [], []
     full = [bool(x.strip()) for x in lines]
@@ -83,15 +84,40 @@ def page_lines(lines: list[str]) -> list[int]:
             marked.append(i)
         elif 2 <= len(s) <= 7 and _ROMAN.fullmatch(s):
             marked.append(i)
-        elif s.isascii() and s.isdigit() and len(s) <= 3:
+        elif s.isascii() and s.isdigit() and (len(s) <= 3 or len(s) == 4 and s[:2] not in ("19", "20")):
             bare.append(i)
     values = [int(lines[i]) for i in bare]
     for i, n in zip(bare, values):
-        if any(0 < abs(n - m) <= 3 for m in values) or i + 1 < len(lines) and _headed(lines[i + 1]):
+        if any(0 < abs(n - m) <= 3 for m in values) or i + 1 < len(lines) and _headed(lines[i + 1]) or _between(lines, i):
             marked.append(i)
     return sorted(marked)
 
 
+def _running(line: str, small: int) -> bool:
+    """Whether a line is running text: three words or more, ``small`` of them in small letters, no columns, few figures."""
+    s = line.strip()
+    words = WORD.findall(s)
+    if len(words) < 3 or sum(w[0].islower() for w in words) < small or "|" in s or re.search(r"\t|\s{3}", s):
+        return False
+    return sum(any(c.isdigit() for c in x) for x in s.split()) * 3 <= len(s.split())
+
+
+def _between(lines: list[str], i: int) -> bool:
+    """Whether line ``i`` parts running text: a sentence goes on around it, or one ends before it and another begins."""
+    before = next((x.rstrip() for x in lines[i - 1 :: -1] if x.strip()), "") if i else ""
+    after = next((x.strip() for x in lines[i + 1 :] if x.strip()), "")
+    if not lines[i - 1].strip() or not _running(before, 2) or not _running(after, 1):
+        return False
+    item = re.compile(r"\s*(?:\d{1,3}[.)]|[-*•])\s+")
+    # a number of a list: its neighbours are items with marks of their own
+    if item.match(before) and item.match(after):
+        return False
+    after = item.sub("", after, count=1)
+    if before[-1] in ".!?»”":
+        return after[:1].isupper() or after[:1] in "¿¡«“"
+    return (before[-1].isalpha() or before[-1] == ",") and after[:1].isalpha()
+
+
 def _headed(line: str) -> bool:
     """Whether a line looks like a running header by itself: in capitals, with a middle dot, or at the top of a page."""
     return bool(_UPPER.fullmatch(line.strip())) or "·" in line or line.startswith("\f")
@@ -104,14 +130,23 @@ def _alike(a: str, b: str) -> bool:
 
 def header_lines(lines: list[str], pages: list[int]) -> list[int]:
     """Numbers of the running headers: the line after a page number where it is set in
-    capitals, names a section and a title (with a middle dot), or returns after another page."""
+    capitals, names a section and a title (with a middle dot), or returns after another page;
+    without a page number, such a line in the middle of a sentence and a short one at the top of a page."""
     after = [i + 1 for i in pages if i + 1 < len(lines) and lines[i + 1].strip() and len(lines[i + 1].strip()) <= 60]
     out = []
     for i in after:
         s = lines[i].strip()
         if _headed(lines[i]) or any(j != i and _alike(s, lines[j]) for j in after):
             out.append(i)
-    return out
+    for i in range(1, len(lines) - 1):
+        s = lines[i].strip()
+        if i in out or i in pages or not s or len(s) > 60 or not any(x.strip() for x in lines[:i]) or not any(x.strip() for x in lines[i + 1 :]):
+            continue
+        above, below = lines[i - 1].rstrip(), lines[i + 1].lstrip()
+        inside = _running(above, 2) and (above[-1].islower() or above[-1] == ",") and _running(below, 1) and below[0].islower()
+        if inside and (_UPPER.fullmatch(s) or " · " in s) or lines[i].startswith("\f") and s[-1] not in ".,;:!?" and not s[0].islower() and below[:1].isalnum():
+            out.append(i)
+    return sorted(out)
 
 
 def cut_words(text: str) -> int:

@@ -46,3 +46,17 @@ def test_copies_of_a_misread_text(spark):
     got = {r.id: r.text for r in ScanRepair(spark.createDataFrame(rows + copies + repeated, "id long, text_excerpt string")).repaired().collect()}
     assert sorted(got) == [*range(1000, 1300), 2000]
     assert got[1000] == "El informe mensual del contrato especial" and "rrn" not in got[2000]
+
+
+def test_lone_page_number_and_header(spark):
+    page = "La tubería queda abierta\nantes del cierre.\n3\nSegún el catálogo revisado sigue."
+    wrong = "La tubería queda\nù 12 ù\nabierta hasta hoy"
+    header = "la obra queda abierta hasta el\nINFORME DE LA OBRA\ncierre de la misma partida."
+    feed = "La obra queda abierta.\n\fInforme anual\nSegún el catálogo."
+    no = ["Factura nueva\nDRAFT 2\n5\nFecha: 2013-02-17 nueva", "obra final Kofrata 32 8.801,29 21,63\n52\nobra parcial Bazu 10 430,35", "La obra queda en el año\n2019\nsegún el catálogo revisado",
+        "- punto de la obra.\n2\n- Otro punto de la obra.", "La obra termina.\nINFORME DE LA OBRA\nSegún el catálogo.", "el valor de la t·nel\nt·nel central 28\nobra"]
+    assert s.page_lines(["uno", "P\ufffdgina 64 de 104", "dos"]) == [1]
+    rows = [(1, page), (2, wrong), (3, header), (4, feed), *enumerate(no, 10)]
+    got = {r.id: r for r in ScanRepair(spark.createDataFrame(rows, "id long, text_excerpt string")).repaired().collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    assert got[3].text == "la obra queda abierta hasta el cierre de la misma partida." and "\n3\n" not in got[1].text
