@@ -4,11 +4,14 @@ Vectors are spread over shards around centroids fitted on a bounded sample. Each
 shard builds a robust-pruned directed graph over its members and answers, by beam
 search, its own members and the vectors whose next-nearest centroids it holds. The
 search runs on a projection; what it finds is ranked again on the full vectors,
-and the answers of the shards of one vector are merged.
+and the answers of the shards of one vector are merged. Files of one vector are one
+point: the first of them is searched, and all get the smallest ids of their own
+class and then those of the classes found.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -17,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatescope import workspace
 from estatescope.llm import graph
 
 #: Sample the centroids are fitted on (rows); every vector is indexed whatever it is.
@@ -27,6 +31,8 @@ SHARD_ROWS = 8_000
 PROBES = 2
 #: Dimensions of the projection searched, degree and beam of the graph, relaxation of its pruning.
 PROJECTION, DEGREE, BEAM, ALPHA = 128, 24, 48, 1.2
+#: Parts in which the ids of one class are brought together.
+CLASS_PARTS = 1024
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -59,6 +65,41 @@ def usable(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
     return sized.mapInArrow(check, "file_id long, v array<float>")
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file_id, first, digest): first number and 16 bytes that equal vectors share."""
+    for batch in batches:
+        rows = np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1) + np.float32(0)
+        digests = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in rows]
+        first = rows[:, 0] if rows.size else np.zeros(0, np.float32)
+        yield pa.RecordBatch.from_arrays([batch.column("file_id"), pa.array(first), pa.array(digests, pa.binary())], ["file_id", "first", "digest"])
+
+
+def _copies(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Members (file_id, rep) and first ids (rep, ids) of the classes of two or more files of one vector."""
+    digests = rows.mapInArrow(_digest, "file_id long, first float, digest binary")
+    # an id given with several vectors counts with the least
+    own = workspace.materialize(digests.groupBy("file_id").agg(F.min(F.struct("first", "digest"))["digest"].alias("digest")), "digests")
+    classes = own.groupBy("digest").agg(F.min("file_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep")
+    members = workspace.materialize(own.join(classes, "digest").select("file_id", "rep"), "copies")
+    least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
+    parts = members.groupBy("rep", F.pmod(F.xxhash64("file_id"), F.lit(CLASS_PARTS)).alias("part")).agg(least(F.collect_list("file_id")).alias("ids"))
+    return members, workspace.materialize(parts.groupBy("rep").agg(least(F.flatten(F.collect_list("ids"))).alias("ids")), "firsts")
+
+
+def _spread(best: DataFrame, members: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
+    """(file_id, best) of every file from the best classes of its class."""
+    each = best.select("file_id", F.explode("best").alias("b")).select("file_id", "b.d", F.col("b.other").alias("rep"))
+    listed = each.join(firsts, "rep", "left").select("file_id", "d", F.explode(F.coalesce("ids", F.array("rep"))).alias("other"))
+    merged = listed.groupBy("file_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k).alias("best"))
+    alone = merged.join(members.select("file_id"), "file_id", "left_anti")
+    # a copy: the first of its own class, then what its class found
+    shared = firsts.join(merged.withColumnRenamed("file_id", "rep"), "rep", "left")
+    own = F.transform(F.filter("ids", lambda x: x != F.col("file_id")), lambda x: F.struct(F.lit(-1.0).alias("d"), x.alias("other")))
+    both = F.when(F.col("best").isNull(), own).otherwise(F.concat(own, "best"))
+    copies = members.join(shared, "rep").select("file_id", F.slice(F.array_sort(both), 1, k).alias("best"))
+    return alone.select("file_id", "best").unionByName(copies)
+
+
 def fit_centroids(sample: np.ndarray, rows: int, shard_rows: int) -> np.ndarray:
     """Centroids by repeated bisection of the largest cell until each holds its share of a shard."""
     rng = np.random.default_rng(11)
@@ -191,6 +232,10 @@ def nearest(
     spark = df.sparkSession
     rows = usable(df, key, vector, dims)
     total = df.count()
+    members, firsts = _copies(rows, k)
+    copied = not members.isEmpty()
+    if copied:
+        rows = rows.join(members.where("file_id <> rep").select("file_id"), "file_id", "left_anti")
     step = max(1, math.ceil(total / sample_rows))
     sample = rows.where(F.pmod(F.xxhash64("file_id"), F.lit(step)) == 0).orderBy("file_id").limit(2 * sample_rows).select("v").toArrow()
     points = unit(matrix(sample.column("v"), dims)).astype(np.float32)
@@ -213,6 +258,8 @@ def nearest(
     best = found.groupBy("file_id").agg(
         F.slice(F.array_sort(F.array_distinct(F.collect_list(F.struct((-F.col("similarity")).alias("d"), "other")))), 1, k).alias("best")
     )
+    if copied:
+        best = _spread(best, members, firsts, k)
     listed = best.select("file_id", F.posexplode("best").alias("at", "b"))
     return listed.select("file_id", F.col("b.other").alias("other"), (-F.col("b.d")).alias("similarity"), (F.col("at") + 1).alias("place"))
 

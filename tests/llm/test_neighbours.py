@@ -53,3 +53,19 @@ def test_centroids_part_what_can_be_parted():
     c = fit_centroids(x, 20000, 2000)
     assert len(c) >= 10
     assert len(fit_centroids(np.ones((50, 4), np.float32), 1000, 100)) == 1
+
+
+def test_many_files_of_one_vector(spark):
+    x = clustered(1200, 32, 5)
+    x[300:700] = x[300]
+    x[710:713] = x[710]
+    df = spark.createDataFrame([(5000 - i, [float(v) for v in x[i]]) for i in range(len(x))], "file_id long, embedding array<float>")
+    by = {}
+    for r in nearest(df, 5, dims=32, sample_rows=600, shard_rows=300).collect():
+        by.setdefault(r.file_id, []).append((r.place, r.other, r.similarity))
+    assert set(by) == set(range(5000 - 1199, 5001)) and all(sorted(p for p, _, _ in v) == [1, 2, 3, 4, 5] for v in by.values())
+    low = list(range(5000 - 699, 5000 - 690))
+    for i in range(300, 700):
+        assert [o for _, o, _ in sorted(by[5000 - i])] == [o for o in low if o != 5000 - i][:5]
+    for i in (710, 711, 712):
+        assert [o for _, o, _ in sorted(by[5000 - i])][:2] == [o for o in (4288, 4289, 4290) if o != 5000 - i]
