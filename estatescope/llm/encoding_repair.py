@@ -101,17 +101,17 @@ def paired_bytes(run: str) -> str | None:
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for word, n in zip(batch.column("token").to_pylist(), batch.column("n").to_pylist()):
+        for word, n, d in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "d"))):
             if _LOST in word or len(word) > 200:
                 continue
             for form, chain in garbled_forms(word).items():
                 # more characters than the word: several bytes of one character were read one by one
                 wide = chain.startswith("utf-8") and len(form) > len(word)
-                rows.append((form, word, n, wide))
-        cols = list(zip(*rows)) or [[]] * 4
+                rows.append((form, word, n, d, wide))
+        cols = list(zip(*rows)) or [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.bool_()))],
-            ["form", "original", "n_original", "wide"],
+            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()))],
+            ["form", "original", "n_original", "d_original", "wide"],
         )
 
 
@@ -129,10 +129,11 @@ def _direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _join_forms(vocabulary: DataFrame) -> DataFrame:
     """(token, original, wide): words of the vocabulary that are garbled forms of others, with the likeliest original."""
-    forms = vocabulary.mapInArrow(_forms, "form string, original string, n_original long, wide boolean")
+    forms = vocabulary.mapInArrow(_forms, "form string, original string, n_original long, d_original long, wide boolean")
     joined = vocabulary.join(forms, F.col("token") == F.col("form"))
-    good = joined.where(F.col("wide") | (F.col("n_original") > F.col("n")))
-    best = good.groupBy("token").agg(F.max(F.struct("wide", "n_original", "original")).alias("b"))
+    # the original stands in more distinct values; copies decide only where those are as many
+    more = (F.col("d_original") > F.col("d")) | ((F.col("d_original") == F.col("d")) & (F.col("n_original") > F.col("n")))
+    best = joined.where(F.col("wide") | more).groupBy("token").agg(F.max(F.struct("wide", "d_original", "n_original", "original")).alias("b"))
     return best.select("token", F.col("b.original").alias("original"), F.col("b.wide").alias("wide"))
 
 
@@ -149,21 +150,23 @@ class EncodingRepair:
             F.col("id").isNotNull() & F.col("value").rlike(r"[^\x00-\x7F]")
         )
         words = F.array_distinct(F.regexp_extract_all("value", F.lit(_WORD), F.lit(0)))
-        self._words = workspace.materialize(self._values.select("id", "field_name", words.alias("tokens")), "words")
+        self._words = workspace.materialize(self._values.select("id", "field_name", F.sha2("value", 256).alias("digest"), words.alias("tokens")), "words")
         self.lexicon = workspace.materialize(self._lexicon(), "lexicon")
         self._hits = workspace.materialize(self._find(), "hits")
 
     def _lexicon(self) -> DataFrame:
         """(token, original, weak) of every garbled word of the corpus; original is null where it is lost."""
+        # n: values with a word; d: distinct values, in which copies of one content have no weight
+        distinct = self._words.groupBy("digest").agg(F.first("tokens").alias("tokens"), F.count("*").alias("copies"))
         vocabulary = workspace.materialize(
-            self._words.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")), "vocabulary"
+            distinct.select(F.explode("tokens").alias("token"), "copies").groupBy("token").agg(F.sum("copies").alias("n"), F.count("*").alias("d")), "vocabulary"
         )
         direct = vocabulary.mapInArrow(_direct, "token string, original string")
         known = workspace.materialize(_join_forms(vocabulary), "known")
         # words never seen clean: their runs beyond ASCII, looked up the same way
         rest = vocabulary.join(known, "token", "left_anti").select("token", "n", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0)))).alias("run"))
-        everywhere = vocabulary.select("n", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0)))).alias("token"))
-        runs = _join_forms(everywhere.groupBy("token").agg(F.sum("n").alias("n"))).where("wide")
+        everywhere = vocabulary.select("n", "d", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0)))).alias("token"))
+        runs = _join_forms(everywhere.groupBy("token").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))).where("wide")
         by_run = rest.join(runs.select(F.col("token").alias("run"), F.col("original").alias("was")), "run")
         patched = by_run.groupBy("token").agg(F.sort_array(F.collect_list(F.struct(F.length("run").alias("l"), "run", "was")), False).alias("parts"))
         patched = patched.select("token", F.aggregate("parts", F.col("token"), lambda acc, p: F.replace(acc, p["run"], p["was"])).alias("original"))

@@ -26,3 +26,11 @@ def test_finds_and_restores(spark):
 def test_pairs_of_bytes():
     assert paired_bytes("regional".encode().decode("utf-16-le")) == "regional"
     assert paired_bytes("日本語") is None
+
+
+def test_copies_of_a_garbled_value(spark):
+    bad = "El diseño del año según la gestión".encode("cp1252").decode("cp850")
+    rows = [(i, f"El diseño del año según la gestión {i}") for i in range(20)] + [(1000 + i, bad) for i in range(200)]
+    er = EncodingRepair(spark.createDataFrame(rows, "id long, text string"), "id", ("text",))
+    assert sorted(r.id for r in er.found().collect()) == list(range(1000, 1200))
+    assert {r.value for r in er.restored().collect()} == {"El diseño del año según la gestión"}
