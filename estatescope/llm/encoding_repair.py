@@ -102,7 +102,7 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for word, n, d in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "d"))):
-            if _LOST in word or len(word) > 200:
+            if _LOST in word:
                 continue
             for form, chain in garbled_forms(word).items():
                 # more characters than the word: several bytes of one character were read one by one

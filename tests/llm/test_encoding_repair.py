@@ -34,3 +34,10 @@ def test_copies_of_a_garbled_value(spark):
     er = EncodingRepair(spark.createDataFrame(rows, "id long, text string"), "id", ("text",))
     assert sorted(r.id for r in er.found().collect()) == list(range(1000, 1200))
     assert {r.value for r in er.restored().collect()} == {"El diseño del año según la gestión"}
+
+
+def test_long_words_without_spaces(spark):
+    word = "Οδηγίεςσυντήρησης" * 20
+    rows = [(1, word), (2, word.encode().decode("latin-1")), (3, word.encode().decode("cp437"))]
+    er = EncodingRepair(spark.createDataFrame(rows, "id long, text string"), "id", ("text",))
+    assert {r.id: r.value for r in er.restored().collect()} == {2: word, 3: word}
