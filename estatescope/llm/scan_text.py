@@ -5,23 +5,12 @@ Pure functions on one text; the operator in ``scan_repair`` supplies what the co
 
 from __future__ import annotations
 
-import math
+import itertools
 import re
 from difflib import SequenceMatcher
-from itertools import combinations
-
-#: What a scanner reads (left) for what was printed (right).
-CONFUSIONS = (
-    ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("9", "g"), ("@", "a"), ("l", "i"), ("ri", "n"),
-    ("rn", "m"), ("c", "e"), ("f", "t"), ("cl", "d"), ("li", "h"), ("ii", "u"), ("d", "cl"), ("vv", "w"),
-)
-#: Most misread places of one word, and most candidates weighed for it.
-MOST_EDITS, MOST_CANDIDATES = 3, 400
 
 #: A word: letters, and digits or @ that may stand for letters.
 WORD = re.compile(r"[^\W\d_](?:[^\W_]|@)*|(?:\d|@)(?:[^\W_]|@)*[^\W\d_](?:[^\W_]|@)*")
-#: A digit or @ among the small letters of a longer word.
-_ODD = re.compile(r"(?=(?:.*[^\W\d_]){3})(?:.*[a-zß-öø-ÿ][01569@][a-zß-öø-ÿ]|.*[a-zß-öø-ÿ]{2}[01569@]$|[A-Z01569@]?[01569@][a-zß-öø-ÿ]{2})")
 _HYPHEN = r"[-¬­‐]"
 CUT = re.compile(rf"([^\W\d_]+)[ \t]?{_HYPHEN}[ \t]*\r?\n[ \t]*([^\W\d_]+)")
 _ROMAN = re.compile(r"(?=[ivxlc])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
@@ -33,38 +22,9 @@ _PAGE = re.compile(
 _UPPER = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2,}(?: [^\W\d_a-zß-öø-ÿ]{2,})+")
 
 
-def candidates(word: str) -> list[tuple[str, str]]:
-    """(printed word, confusions joined by commas) of everything ``word`` may be a misreading of."""
-    places = [
-        (m.start(), m.end(), k) for k, (seen, _) in enumerate(CONFUSIONS) for m in re.finditer(f"(?={re.escape(seen)})", word)
-        for m in [re.compile(re.escape(seen)).match(word, m.start())]
-    ]
-    places.sort()
-    out: dict[str, str] = {}
-    for n in range(1, MOST_EDITS + 1):
-        for chosen in combinations(places, n):
-            if any(a[1] > b[0] for a, b in zip(chosen, chosen[1:])):
-                continue
-            parts, at = [], 0
-            for start, end, k in chosen:
-                parts += [word[at:start], CONFUSIONS[k][1]]
-                at = end
-            printed = "".join(parts) + word[at:]
-            if printed != word:
-                out.setdefault(printed, ",".join(str(k) for _, _, k in chosen))
-            if len(out) >= MOST_CANDIDATES:
-                return list(out.items())
-    return list(out.items())
-
-
-def odd_word(word: str) -> bool:
-    """Whether a digit or @ stands among the letters of ``word`` as no code or measure has it."""
-    return _ODD.match(word) is not None
-
-
-def plain(word: str) -> str:
-    """``word`` with the letters its digits and @ most likely stand for."""
-    return word.translate(str.maketrans("01569@", "olsbga"))
+def odd(word: str) -> bool:
+    """Whether a word holds a digit or @, so that it is a code or misread."""
+    return not word.isalpha()
 
 
 def page_lines(lines: list[str]) -> list[int]:
@@ -154,24 +114,20 @@ def cut_words(text: str) -> int:
     return sum(m.group(2)[0].islower() or m.group(0).rstrip()[len(m.group(1))] in "¬­" for m in CUT.finditer(text))
 
 
-def viterbi(words: list[str], table: dict[str, list[tuple[str, float]]], unigram, bigram) -> list[str]:
+def viterbi(words: list[str], table: dict[str, list[tuple[str, float]]], gain) -> list[str]:
     """The likeliest printed words of one line.
 
-    table: misread word to its (printed word, log channel probability), the word itself included
-    unigram(w), bigram(v, w): log probabilities
+    table: misread word to its (printed word, log probability), the word itself included
+    gain(v, w): how much likelier w is after v than anywhere, as a logarithm
     """
-    states = [(0.0, [])]
-    last = [""]
+    states = [("", 0.0, [])]
     for word in words:
-        options = table.get(word) or [(word, 0.0)]
         new = []
-        for printed, channel in options:
-            score, path = max(
-                ((s + (bigram(v, printed) if v else unigram(printed)), p) for (s, p), v in zip(states, last)), key=lambda x: x[0]
-            )
-            new.append((score + channel, [*path, printed]))
-        states, last = new, [p for p, _ in options]
-    return max(states, key=lambda x: x[0])[1] if words else []
+        for printed, weight in table.get(word) or [(word, 0.0)]:
+            score, path = max(((s + (gain(v, printed) if v else 0.0), p) for v, s, p in states), key=lambda x: x[0])
+            new.append((printed, score + weight, [*path, printed]))
+        states = new
+    return max(states, key=lambda x: x[1])[2]
 
 
 def with_case(printed: str, seen: str) -> str:
@@ -182,20 +138,20 @@ def with_case(printed: str, seen: str) -> str:
     return printed[:1].upper() + printed[1:] if letters and letters[0].isupper() and seen[:1].isalpha() else printed
 
 
-def repair(text: str, fixes: dict[str, str]) -> str:
+def repair(text: str, fixes: dict[tuple[int, int], str]) -> str:
     """Continuous paragraphs: without page numbers and running headers, cut words joined,
-    misread words put right, ordinary line breaks within a paragraph closed."""
-    lines = re.split(r"\r?\n", text)
+    misread words put right, ordinary line breaks within a paragraph closed.
+
+    fixes: the word printed, by the number of the line and of the word in it
+    """
+    lines = text.replace("\r\n", "\n").split("\n")
     pages = page_lines(lines)
     gone = {*pages, *header_lines(lines, pages)}
+    for i in {i for i, _ in fixes}:
+        at = itertools.count()
+        lines[i] = WORD.sub(lambda m, i=i, at=at: fixes.get((i, next(at)), m.group()), lines[i])
     kept = "\n".join(x.lstrip("\f") for i, x in enumerate(lines) if i not in gone)
     kept = CUT.sub(lambda m: m.group(1) + m.group(2) if m.group(2)[0].islower() else m.group(0), kept)
-    kept = WORD.sub(lambda m: fixes.get(m.group(), m.group()), kept)
     kept = re.sub(r"[ \t]+\n", "\n", kept)
     # a line break is ordinary where a full line ends without a stop and the next begins small
     return re.sub(r"(?<=[^\n.!?:;])\n(?=[a-zß-öø-ÿ(«“¿])", " ", kept)
-
-
-def log(p: float) -> float:
-    """Logarithm bounded below."""
-    return math.log(max(p, 1e-15))

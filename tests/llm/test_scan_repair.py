@@ -1,15 +1,47 @@
 from estatescope.llm import scan_text as s
+from estatescope.llm.confusions import Confusions
 from estatescope.llm.scan_repair import ScanRepair
 
 
-def test_candidates_undo_confusions():
-    for seen, printed in (("rcviscd", "revised"), ("cornpany", "company"), ("inclex", "index"), ("t0tal", "total"), ("m@yor", "mayor"), ("máqiiina", "máquina"), ("ariual", "anual")):
-        assert printed in dict(s.candidates(seen))
+def test_misreadings_share_a_key():
+    c = Confusions.of({})
+    pairs = (("rcviscd", "revised"), ("cornpany", "company"), ("inclex", "index"), ("t0tal", "total"), ("m@yor", "mayor"), ("máqiiina", "máquina"), ("arnbierita1es", "ambientales"))
+    for seen, printed in (*pairs, ("rnunicipal" * 9 + "c0rn" * 5, "municipal" * 9 + "com" * 5)):
+        assert c.key(seen) == c.key(printed)
+        p, how = c.channel(seen, printed)
+        assert p < 0 and all(pair in c.chance for pair in how)
+    assert c.channel("casa", "cosa") is None and c.channel("total", "t0tal") is None
 
 
-def test_odd_words_are_no_codes():
-    assert all(map(s.odd_word, ("c0ntract", "Ne1tor", "Tota1", "m@nual", "re9ional")))
-    assert not any(map(s.odd_word, ("v2", "A4", "XK12", "M25B", "20", "5B", "m2", "EAODAT")))
+def test_learnt_confusions_stay_consistent():
+    c = Confusions.of({("q", "g"): 40, ("nn", "m"): 30, ("c", "e"): 99})
+    assert ("q", "g") in c.chance and c.key("re9istra") == c.key("reqistra") == c.key("registra")
+    # m is r and n already
+    assert ("nn", "m") not in c.chance
+
+
+def test_codes_are_words_of_their_own(spark):
+    for copies in (1, 10):
+        rows = [(i, f"El informe mensual del contrato {i} sobre ipv6 y sha1sum con H2O {'abcdefghij'[i % 10] * 4} aprueba la red") for i in range(300 * copies)]
+        bad = {100_000: "El inforrne mensual del contrato", 100_001: "obra de Ne1tor", 100_002: "El c0ntrato aprueba la red"}
+        got = {r.id: r.text for r in ScanRepair(spark.createDataFrame([*rows, *bad.items()], "id long, text_excerpt string")).repaired().collect()}
+        assert got == {100_000: "El informe mensual del contrato", 100_001: "obra de Neltor", 100_002: "El contrato aprueba la red"}
+    same = [(i, "El informe mensual sobre ipv6 y sha1sum con H2O del proyecto") for i in range(300)]
+    assert ScanRepair(spark.createDataFrame(same, "id long, text_excerpt string")).found().isEmpty()
+
+
+def test_words_of_any_length_and_cut_words(spark):
+    rows = [(i, f"lo que dice {a * 3}{b * 3} según la inspección obligatoria del contratista responsable") for i, (a, b) in enumerate((a, b) for a in "abdfg" for b in "kmprstvwxz")]
+    bad = {900: "lo quc dice según el contratista", 901: "según la inspec-\nclón obligatoria\ny más", 902: "según la irispeccióri ob1ig@t0ri@ hoy"}
+    got = {r.id: r.text for r in ScanRepair(spark.createDataFrame([*rows, *bad.items()], "id long, text_excerpt string")).repaired().collect()}
+    assert got == {900: "lo que dice según el contratista", 901: "según la inspección obligatoria y más", 902: "según la inspección obligatoria hoy"}
+
+
+def test_decisions_are_made_place_by_place(spark):
+    rows = [(i, f"el mar de {a * 4} y la casa de {b * 4} queda lejos") for i, (a, b) in enumerate((a, b) for a in "abdfghjk" for b in "klmprstv")]
+    bad = (900, "el rnar de todos\ncódigo rnar, 5")
+    got = ScanRepair(spark.createDataFrame([*rows, bad], "id long, text_excerpt string")).repaired().first()
+    assert got.id == 900 and got.text.startswith("el mar de todos")
 
 
 def test_page_numbers():
@@ -22,7 +54,7 @@ def test_page_numbers():
 def test_cut_words_and_repair():
     assert s.cut_words("mens-\nual y co¬\nste") == 2 and s.cut_words("rango 10-\n20\n- punto") == 0
     text = "La obra mens-\nual sigue\n— 7 —\nNOMBRE DEL INFORME\nsin coste.\n\nOtro párrafo"
-    assert s.repair(text, {"obra": "Obra"}) == "La Obra mensual sigue sin coste.\n\nOtro párrafo"
+    assert s.repair(text, {(0, 1): "Obra"}) == "La Obra mensual sigue sin coste.\n\nOtro párrafo"
 
 
 def test_operator(spark):
