@@ -17,13 +17,20 @@ SPECS = {
 }
 
 
+#: The three tables in one store, told apart by name.
+TOGETHER = Spec("identifier", "row_id", "received", scope="table_name")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries to drop: every row but the first with its identifier in its table."""
     parts = [
-        dropped_deliveries(load(spark, sf_dir, name), spec, partitions=16).select(F.lit(name).alias("table_name"), F.col("row_id").cast("long"))
-        for name, spec in SPECS.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+        load(spark, sf_dir, name).select(
+            F.lit(name).alias("table_name"), F.col(s.identifier).alias("identifier"), F.col(s.row_id).cast("long").alias("row_id"),
+            F.col(s.received).cast("timestamp_ntz").alias("received"),
+        )
+        for name, s in SPECS.items()
+    ]
+    return dropped_deliveries(reduce(DataFrame.unionByName, parts), TOGETHER, partitions=16)
 
 
 def p6_delivery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

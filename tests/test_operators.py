@@ -23,6 +23,52 @@ def test_delivery_store(spark, tmp_path):
     assert {r.rid for r in store.rows().collect()} == kept and again["version"] == 3
 
 
+def _deliveries(spark, rows):
+    return spark.createDataFrame(rows, "rid long, mid string, at string, body string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+def test_index_names_the_days_to_rewrite(spark, tmp_path):
+    store = delivery.DeliveryStore(spark, "file://" + str(tmp_path / "s"), SPEC, 8)
+    store.merge(_deliveries(spark, [(d * 100 + i, f"k{d}-{i}", f"2024-01-{d:02d} 12:00:00", "old") for d in range(1, 21) for i in range(30)]))
+    first = store.manifest()
+    assert len(first["parts"]) == 20
+    new = [(9000 + i, f"new{i}", "2024-02-01 08:00:00", "new") for i in range(100)]
+    # earlier copies of three known ids, and copies that come too late
+    early = [(9200 + d, f"k{d}-1", f"2024-01-{d:02d} 01:00:00", "early") for d in (3, 7, 11)]
+    late = [(9300 + d, f"k{d}-2", "2024-02-01 09:00:00", "late") for d in (4, 5, 6)]
+    store.merge(_deliveries(spark, new + early + late))
+    second = store.manifest()
+    changed = {p for p in second["parts"] if second["parts"][p] != first["parts"].get(p)}
+    assert changed == {"2024-02-01", "2024-01-03", "2024-01-07", "2024-01-11"}
+    kept = {r.rid: r.body for r in store.rows().collect()}
+    assert len(kept) == 700 and all(kept[9200 + d] == "early" and d * 100 + 1 not in kept for d in (3, 7, 11)) and not {9304, 9305, 9306} & set(kept)
+    assert store.index().count() == 700
+
+
+def test_second_writer_is_refused_and_old_versions_go(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "s"
+    a, b = (delivery.DeliveryStore(spark, "file://" + str(path), SPEC, 2) for _ in range(2))
+    a.merge(_deliveries(spark, [(1, "x", "2024-01-01 00:00:00", "")]))
+    stale = a.manifest()
+    b.merge(_deliveries(spark, [(2, "y", "2024-01-01 00:00:00", "")]))
+    with pytest.raises(delivery.ConcurrentMerge):
+        a._publish({**stale, "version": stale["version"] + 1})
+    assert {r.rid for r in a.rows().collect()} == {1, 2}
+    for i in range(3, 7):
+        a.merge(_deliveries(spark, [(i, f"z{i}", "2024-01-01 00:00:00", "")]))
+    assert len([p for p in path.iterdir() if p.name.startswith("manifest-")]) == delivery.KEPT_VERSIONS
+    used = {f.split("/")[0] for n in a._manifests() for k in ("parts", "index") for f in a._load(n)[k].values()}
+    assert {p.name for p in path.iterdir() if p.is_dir()} <= used | {""} and {r.rid for r in a.rows().collect()} == set(range(1, 7))
+
+
+def test_deliveries_of_several_scopes(spark):
+    df = _deliveries(spark, [(1, "x", "2024-01-02 00:00:00", "s"), (1, "X", "2024-01-01 00:00:00", "t/1"), (2, "x", "2024-01-03 00:00:00", "s"), (3, None, None, "s"), (4, "X ", None, "t/1"), (5, "x", "2024-01-01 05:00:00", None)])
+    spec = delivery.Spec("mid", "rid", "at", scope="body")
+    assert {(r.body, r.row_id) for r in delivery.dropped_deliveries(df, spec, partitions=2).collect()} == {("s", 2), ("t/1", 4)}
+
+
 def test_dropped_deliveries_hot_identifier(spark):
     df = spark.range(3000).select(
         F.col("id").alias("rid"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("mid"),
