@@ -27,9 +27,11 @@ class Bitmap:
     words: np.ndarray
 
     @staticmethod
-    def gather(hashes: DataFrame, column: str = "h") -> Bitmap:
-        """Bitmap of the 64-bit integers in ``column``; at most 2^MOST_BITS / 64 rows reach the driver."""
-        size = int(hashes.agg(F.approx_count_distinct(column).alias("n")).first()[0])
+    def gather(hashes: DataFrame, column: str = "h", size: int | None = None) -> Bitmap:
+        """Bitmap of the 64-bit integers in ``column``, about ``size`` of them (counted if not given); at most
+        2^MOST_BITS / 64 rows reach the driver."""
+        if size is None:
+            size = int(hashes.agg(F.approx_count_distinct(column).alias("n")).first()[0])
         bits = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * size).bit_length()))
         at = F.pmod(F.col(column), F.lit(1 << bits))
         words = hashes.groupBy(F.shiftright(at, 6).cast("int").alias("w")).agg(

@@ -4,25 +4,42 @@ Every distinct word of the corpus that is not plain ASCII is written down in all
 the garbled forms that chains of encodings give it. The corpus's words are hash-joined
 with that table: a word that equals the garbled form of a more frequent word (or a
 form only wrong decoding produces) is garbled, and the word it came from replaces
-it. Single symbols are ambiguous (a Greek letter may be meant), so they count only
+it; an original that is itself garbled is followed to its own original. Single symbols are ambiguous (a Greek letter may be meant), so they count only
 where the corpus shows them together with longer garbled words.
+
+A reader of single bytes garbles every character by itself. So a chain is a table of characters, and a chain that
+gives some character of a word two neighbours the corpus doesn't have together is left out for that word.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatescope import workspace
+from estatescope.llm.bitmap import Bitmap, word_hash
 
 #: Encodings a text was written in, and those it may have been read with.
-WRITTEN = ("utf-8", "cp1252", "cp437", "cp850", "mac_roman")
-READ = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "cp1253", "utf-8")
+WRITTEN = ("utf-8", "cp1252", "cp437", "cp850", "mac_roman", "cp1251", "koi8-r", "iso8859-15", "shift_jis")
+READ = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "cp1253", "koi8-r")
+#: Those met most often.
+USUAL = ({"utf-8", "cp1252", "cp437", "cp850", "mac_roman"}, set(READ) - {"koi8-r"})
+#: Readers that take several bytes at a time.
+READ_WIDE = ("utf-8", "gbk")
+#: How many times UTF-8 may be misread one after the other, and how many times anything else.
+DEPTH, DEPTH_OTHER = 3, 2
+#: Pairs of neighbouring characters a bitmap is laid out for.
+PAIRS = 1 << 18
+#: Words of one task while forms are made, and most tasks.
+TASK_WORDS, MOST_TASKS = 1000, 4096
 #: Share of a symbol's values that must hold longer garbled words for the symbol to count by itself.
 SYMBOL_SHARE = 0.5
 
@@ -60,30 +77,77 @@ def decode(raw: bytes, codec: str) -> str | None:
     return "".join(bytes([b]).decode("latin-1" if b in b"\x81\x8d\x8f\x90\x9d" else "cp1252") for b in raw)
 
 
-def garbled_forms(word: str) -> dict[str, str]:
-    """Form to chain, of every chain that changes ``word``; UTF-8 bytes may be misread twice."""
-    out: dict[str, str] = {}
+_NONE = "\uffff"
+
+
+class Chain(dict):
+    """Characters garbled by a chain of (written, read) steps; what cannot pass it becomes U+FFFF."""
+
+    def __init__(self, steps: tuple[tuple[str, str], ...]):
+        self.steps, self.name = steps, ">".join(x for step in steps for x in step)
+        self.wide = steps[0][0] == "utf-8"
+        #: chains of few steps and usual encodings are tried first
+        self.rank = -len(steps) - sum(x not in usual for x, usual in zip(steps[0], USUAL))
+
+    def __missing__(self, code: int) -> str:
+        text: str | None = chr(code)
+        for written, read in self.steps:
+            raw = encode(text, written)
+            text = None if raw is None else decode(raw, read)
+            if text is None:
+                text = _NONE
+                break
+        self[code] = text
+        return text
+
+
+@lru_cache(maxsize=8)
+def chains(written: tuple[str, ...] = WRITTEN, read: tuple[str, ...] = READ) -> list[Chain]:
+    """All chains of single-byte readers: UTF-8 misread up to DEPTH times, any other encoding once and then UTF-8."""
+    out = [Chain(tuple(("utf-8", r) for r in rs)) for n in range(1, DEPTH + 1) for rs in itertools.product(read, repeat=n)]
+    firsts = [(w, r) for w in written if w != "utf-8" for r in read if r != w]
+    return out + [Chain(((w, r), *(("utf-8", x) for x in rs))) for w, r in firsts for n in range(DEPTH_OTHER) for rs in itertools.product(read, repeat=n)]
+
+
+def is_clean(word: str) -> bool:
+    """Whether no reader's bytes of ``word`` are UTF-8, so that it isn't a misreading of UTF-8 by itself."""
+    for codec in READ:
+        raw = encode(word, codec)
+        if raw is None or raw.isascii():
+            continue
+        try:
+            text = raw.decode("utf-8")
+        except UnicodeDecodeError:
+            continue
+        # by chance the bytes may be those of a script no word of this kind is written in
+        if all(c < "\u0530" or "\u2000" <= c < "\u2300" for c in text):
+            return False
+    return True
+
+
+def garbled_forms(word: str, possible=None) -> dict[str, Chain | None]:
+    """Form to chain (None for readers of several bytes), of every chain that changes ``word``.
+
+    possible: which chains are worth the trouble, from (character, chains); all without it. Words that look garbled
+    themselves are garbled once more only.
+    """
+    out: dict[str, Chain | None] = {}
+    deep = is_clean(word)
     for text in {word, unicodedata.normalize("NFC", word), unicodedata.normalize("NFD", word)}:
+        able = chains() if possible is None else possible(text)
+        for chain in able:
+            if not deep and len(chain.steps) > 1:
+                continue
+            form = text.translate(chain)
+            if _NONE not in form and form != text:
+                out.setdefault(form, chain)
         for written in WRITTEN:
             raw = encode(text, written)
-            if raw is None:
-                continue
-            for read in READ:
-                if read == written:
-                    continue
-                form = decode(raw, read)
-                if form is None or form == text:
-                    continue
+            for read in READ_WIDE:
+                form = decode(raw, read) if raw is not None and read != written else None
                 # bytes that are good UTF-8 were written so: reading them as UTF-8 repairs, only losses garble
-                if read == "utf-8" and _LOST not in form:
-                    continue
-                out.setdefault(form, f"{written}>{read}")
-                if written == "utf-8" and read in ("cp1252", "latin-1"):
-                    again = encode(form, "utf-8")
-                    for second in ("cp1252", "latin-1"):
-                        twice = decode(again, second)
-                        if twice is not None:
-                            out.setdefault(twice, f"{written}>{read}>{written}>{second}")
+                if form is not None and form != text and (read != "utf-8" or _LOST in form):
+                    out.setdefault(form, None)
     out.pop(word, None)
     return out
 
@@ -98,21 +162,60 @@ def paired_bytes(run: str) -> str | None:
     return text if letters >= 0.6 * len(text) else None
 
 
-def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs(word: str) -> list[str]:
+    """Neighbours beyond ASCII, and the single characters beyond ASCII."""
+    beyond = [not c.isascii() for c in word]
+    return [word[i : i + 2] for i in range(len(word) - 1) if beyond[i] and beyond[i + 1]] + [c for c, b in zip(word, beyond) if b]
+
+
+def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for word, n, d in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "d"))):
-            if _LOST in word:
-                continue
-            for form, chain in garbled_forms(word).items():
-                # more characters than the word: several bytes of one character were read one by one
-                wide = chain.startswith("utf-8") and len(form) > len(word)
-                rows.append((form, word, n, d, wide))
-        cols = list(zip(*rows)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()))],
-            ["form", "original", "n_original", "d_original", "wide"],
-        )
+        found = {p for word in batch.column("token").to_pylist() for p in _pairs(word)}
+        yield pa.RecordBatch.from_arrays([pa.array(np.array([word_hash(p) for p in found], np.uint64).view(np.int64))], ["h"])
+
+
+def _token_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.array([word_hash(w) for w in batch.column("token").to_pylist()], np.uint64).view(np.int64))], ["h"])
+
+
+def _forms(pairs: Bitmap, tokens: Bitmap):
+    """Arrow map: the garbled forms of every word that the corpus may hold; those of UTF-8 only of runs."""
+    able: dict[str, frozenset[int]] = {}
+
+    def possible(text: str) -> list[Chain]:
+        every, left = chains(), None
+        for c in {c for c in text if not c.isascii()}:
+            if c not in able:
+                forms = [chain[ord(c)] for chain in every]
+                need = [_pairs(f) for f in forms]
+                flat = np.array([word_hash(p) for ps in need for p in ps], np.uint64)
+                there = iter(pairs.contains(flat)) if len(flat) else iter(())
+                able[c] = frozenset(k for k, (f, ps) in enumerate(zip(forms, need)) if all([next(there) for _ in ps]) and f != _NONE)
+            left = able[c] if left is None else left & able[c]
+        return [every[k] for k in sorted(left or ())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for word, n, d, run_only in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "d", "run"))):
+                if _LOST in word:
+                    continue
+                made = garbled_forms(word, possible)
+                if run_only:
+                    made = {f: c for f, c in made.items() if c is not None and c.wide}
+                if not made:
+                    continue
+                there = tokens.contains(np.array([word_hash(f) for f in made], np.uint64))
+                for (form, chain), ok in zip(made.items(), there):
+                    if ok:
+                        # more characters than the word: several bytes of one character were read one by one
+                        rows.append((form, word, run_only, n, d, chain is not None and chain.wide and len(form) > len(word), -1 if chain is None else chain.rank))
+            cols = list(zip(*rows)) or [[]] * 7
+            types = (pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], ["form", "original", "of_run", "n_original", "d_original", "wide", "rank"])
+
+    return run
 
 
 def _direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,13 +231,29 @@ def _direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _join_forms(vocabulary: DataFrame) -> DataFrame:
-    """(token, original, wide): words of the vocabulary that are garbled forms of others, with the likeliest original."""
-    forms = vocabulary.mapInArrow(_forms, "form string, original string, n_original long, d_original long, wide boolean")
-    joined = vocabulary.join(forms, F.col("token") == F.col("form"))
+    """(token, run, original, wide): words and runs of the vocabulary that are garbled forms of others, with the
+    likeliest original."""
+    size = vocabulary.count()
+    # pairs of characters: bounded by the scripts in use
+    pairs = Bitmap.gather(vocabulary.select("token").mapInArrow(_pair_hashes, "h long"), size=PAIRS)
+    tokens = Bitmap.gather(vocabulary.select("token").mapInArrow(_token_hashes, "h long"), size=size)
+    # few words, but much work each
+    shared = vocabulary.repartition(max(1, min(MOST_TASKS, -(-size // TASK_WORDS))), "token")
+    schema = "form string, original string, of_run boolean, n_original long, d_original long, wide boolean, rank int"
+    forms = shared.mapInArrow(_forms(pairs, tokens), schema)
+    joined = vocabulary.join(forms, (F.col("token") == F.col("form")) & (F.col("run") == F.col("of_run")))
     # the original stands in more distinct values; copies decide only where those are as many
     more = (F.col("d_original") > F.col("d")) | ((F.col("d_original") == F.col("d")) & (F.col("n_original") > F.col("n")))
-    best = joined.where(F.col("wide") | more).groupBy("token").agg(F.max(F.struct("wide", "d_original", "n_original", "original")).alias("b"))
-    return best.select("token", F.col("b.original").alias("original"), F.col("b.wide").alias("wide"))
+    best = joined.where(F.col("wide") | more).groupBy("token", "run").agg(F.max(F.struct("wide", "rank", "d_original", "n_original", "original")).alias("b"))
+    return best.select("token", "run", F.col("b.original").alias("original"), F.col("b.wide").alias("wide"))
+
+
+def _resolved(found: DataFrame, steps: int = DEPTH) -> DataFrame:
+    """(token, original, ...) with every original that is garbled UTF-8 itself replaced by its own, ``steps`` times."""
+    for _ in range(steps):
+        own = found.where("wide").select("run", F.col("token").alias("original"), F.col("original").alias("__next"))
+        found = found.join(own, ["run", "original"], "left").withColumn("original", F.coalesce(F.when(F.col("__next") != F.col("token"), F.col("__next")), "original")).drop("__next")
+    return found
 
 
 class EncodingRepair:
@@ -162,11 +281,14 @@ class EncodingRepair:
             distinct.select(F.explode("tokens").alias("token"), "copies").groupBy("token").agg(F.sum("copies").alias("n"), F.count("*").alias("d")), "vocabulary"
         )
         direct = vocabulary.mapInArrow(_direct, "token string, original string")
-        known = workspace.materialize(_join_forms(vocabulary), "known")
+        cut = F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0))))
+        everywhere = vocabulary.select("n", "d", cut.alias("token")).groupBy("token").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+        both = vocabulary.withColumn("run", F.lit(False)).unionByName(everywhere.withColumn("run", F.lit(True)))
+        joined = workspace.materialize(_join_forms(workspace.materialize(both, "both")), "joined")
+        joined = workspace.materialize(_resolved(joined), "joined")
+        known, runs = joined.where("not run"), joined.where("run and wide")
         # words never seen clean: their runs beyond ASCII, looked up the same way
-        rest = vocabulary.join(known, "token", "left_anti").select("token", "n", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0)))).alias("run"))
-        everywhere = vocabulary.select("n", "d", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(r"[^\x00-\x7F]+"), F.lit(0)))).alias("token"))
-        runs = _join_forms(everywhere.groupBy("token").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))).where("wide")
+        rest = vocabulary.join(known, "token", "left_anti").select("token", "n", cut.alias("run"))
         by_run = rest.join(runs.select(F.col("token").alias("run"), F.col("original").alias("was")), "run")
         patched = by_run.groupBy("token").agg(F.sort_array(F.collect_list(F.struct(F.length("run").alias("l"), "run", "was")), False).alias("parts"))
         patched = patched.select("token", F.aggregate("parts", F.col("token"), lambda acc, p: F.replace(acc, p["run"], p["was"])).alias("original"))
