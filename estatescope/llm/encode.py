@@ -181,22 +181,29 @@ def token_counts(
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", folder: str = FOLDER, name: str = BYTE_BPE) -> DataFrame:
-    """(key, text) back from ids, by joining the token-byte table; an empty list gives ''.
+    """(key, text) back from ids, by joining the token-byte table; an empty or null list gives ''.
 
-    The table is the vocabulary file, of fixed size (about 50,000 rows, under 1 MB),
-    so it is broadcast. Ids are joined per distinct id of a document and put back
-    by position; byte sequences that are no UTF-8 (cut inside a character) are
-    replaced as the JVM does.
+    The table is the vocabulary file, of fixed size (about 50,000 rows, under 1 MB), so every task holds it and
+    the join is a look-up by id, without a shuffle. Ids beyond the table give nothing; bytes that are no UTF-8 (cut inside a
+    character) are replaced. A row given twice comes out twice.
     """
-    spark = encoded.sparkSession
-    table = spark.createDataFrame(
-        [(i, bytearray(b)) for i, b in enumerate(token_bytes(folder, name))], "id int, bytes binary"
-    )
-    numbered = encoded.select(F.col(key), F.col(ids), F.monotonically_increasing_id().alias("__n"))
-    rows = numbered.select("__n", key, F.posexplode_outer(ids).alias("pos", "id"))
-    parts = rows.join(F.broadcast(table), "id", "left")
-    joined = parts.groupBy("__n", key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "bytes"))).alias("seq")
-    )
-    whole = F.aggregate("seq", F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, F.coalesce(x["bytes"], F.lit(b"").cast("binary"))))
-    return joined.select(key, F.make_valid_utf8(whole.cast("string")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = token_bytes(folder, name)
+        size = np.array([len(b) for b in table] + [0], np.int64)
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        raw = np.frombuffer(b"".join(table), np.uint8)
+        for whole in batches:
+            for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                column = batch.column(ids)
+                token = np.asarray(column.flatten().fill_null(-1)).astype(np.int64)
+                token = np.where((token < 0) | (token >= len(table)), len(table), token)
+                n = size[token]
+                at = np.concatenate([[0], np.cumsum(n)])
+                data = raw[np.repeat(start[token] - at[:-1], n) + np.arange(at[-1])]
+                ends = at[np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column).fill_null(0)))])]
+                texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(texts, pa.string())], [key, "text"])
+
+    kind = encoded.schema[key].dataType.simpleString()
+    return encoded.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")

@@ -2,10 +2,9 @@
 
 Every document draws its number of copies from a Poisson distribution whose mean
 is the repetition its source needs, cut off at the source's cap. The draw inverts
-the distribution at a hash of the document's key, so it is repeatable and needs
-no state. Because the draw grows with the mean, the mean can be tuned: one pass sums
-the tokens each source would give at a small grid of means and hash seeds, and
-the grid point nearest the target is taken.
+the distribution at a hash of the document's key, one hash for good, so it is repeatable and needs
+no state. With the hashes given, the tokens of a source grow with its mean: the mean at which they
+meet the target is found by two rounds of bracketing, each a pass over the document sizes.
 """
 
 from __future__ import annotations
@@ -22,9 +21,8 @@ from pyspark.sql import functions as F
 from estatescope import workspace
 from estatescope.llm.encode import token_counts
 
-#: Hash seeds tried per source, and means tried around the expected one.
-SEEDS = 16
-GRID = tuple(np.exp(np.linspace(math.log(0.6), math.log(1.7), 41)))
+#: Means tried per source in one round, the first spread by this factor around the expected one, and rounds.
+GRID, SPREAD, ROUNDS = 64, 2.0, 2
 #: Largest number of target rows; the table is read by the driver.
 MAX_SOURCES = 10_000
 
@@ -85,32 +83,50 @@ def draw(key: Column, seed: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, seed), 11).cast("double") * F.lit(2.0**-53)
 
 
-def _sums(plans: dict[str, list[list[float]]]):
-    """Arrow map: tokens each (source, seed, grid point) would give."""
+def _sums(cuts: dict[str, list[list[float]]]):
+    """Arrow map: tokens each (source, mean) would give."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = list(plans)
-        number = {n: i for i, n in enumerate(names)}
-        total = np.zeros((len(names), SEEDS, len(GRID) + 1))
+        total: dict[str, np.ndarray] = {}
         for batch in batches:
-            source = np.array([number[s] for s in batch.column("source").to_pylist()], np.int64)
-            tokens = np.asarray(batch.column("n_tokens")).astype(np.float64)
-            u = np.asarray(batch.column("u").flatten()).reshape(-1, SEEDS)
-            for i in np.unique(source):
-                own = source == i
-                for g, cuts in enumerate(plans[names[i]]):
-                    copies = (u[own][:, :, None] >= np.asarray(cuts)).sum(-1)
-                    total[i, :, g] += tokens[own] @ copies
-        for i, name in enumerate(names):
-            seed, grid = np.indices(total[i].shape)
+            source = batch.column("source").dictionary_encode()
+            index, names = source.indices.to_numpy(zero_copy_only=False), source.dictionary.to_pylist()
+            tokens, u = np.asarray(batch.column("n_tokens")).astype(np.float64), np.asarray(batch.column("u"))
+            for i, name in enumerate(names):
+                own = index == i
+                sums = np.array([tokens[own] @ (u[own][:, None] >= np.asarray(c)).sum(-1) for c in cuts[name]])
+                total[name] = total.get(name, 0) + sums
+        for name, sums in total.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * seed.size), pa.array(seed.ravel(), pa.int32()), pa.array(grid.ravel(), pa.int32()), pa.array(total[i].ravel())],
-                ["source", "seed", "grid", "tokens"],
+                [pa.array([name] * len(sums)), pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], ["source", "at", "tokens"]
             )
 
     return run
 
 
+def _calibrated(sized: DataFrame, usable: list[Target], goal: dict[str, float], have: dict[str, int]) -> dict[str, float]:
+    """Mean of every source at which the copies drawn come nearest its goal."""
+    expected = {t.source: mean_for(goal[t.source] / have[t.source], t.cap) for t in usable}
+    means = {s: [math.inf] if math.isinf(m) else [m * SPREAD ** (2 * i / (GRID - 1) - 1) for i in range(GRID)] for s, m in expected.items()}
+    cap = {t.source: t.cap for t in usable}
+    goals = sized.sparkSession.createDataFrame(list(goal.items()), "source string, goal double")
+    best: dict[str, float] = {}
+    for _ in range(ROUNDS):
+        parts = sized.select("source", "n_tokens", "u").mapInArrow(
+            _sums({s: [thresholds(m, cap[s]) for m in ms] for s, ms in means.items()}), "source string, at int, tokens double"
+        )
+        sums = parts.groupBy("source", "at").agg(F.sum("tokens").alias("tokens")).join(F.broadcast(goals), "source")  # at most MAX_SOURCES rows
+        off = F.abs(F.col("tokens") - F.col("goal"))
+        # one row per source
+        for r in sums.groupBy("source").agg(F.min(F.struct(off.alias("off"), "at"))["at"].alias("best"), F.max(F.when(F.col("tokens") <= F.col("goal"), F.col("at"))).alias("below")).collect():
+            tried = means[r["source"]]
+            best[r["source"]] = tried[r["best"]]
+            low = r["below"] if r["below"] is not None else 0
+            a, b = tried[low], tried[min(low + 1, len(tried) - 1)]
+            means[r["source"]] = [best[r["source"]], *(a + (b - a) * i / (GRID - 2) for i in range(GRID - 1))] if math.isfinite(b) else [b]
+    return best
+
+
 @dataclass
 class Mixture:
     """copies: (doc_id, copy, source, n_tokens) in a global random order; shares: the report."""
@@ -119,64 +135,55 @@ class Mixture:
     shares: DataFrame
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 0, **tokenizer) -> Mixture:
+def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | str | None = None, seed: int = 0, **tokenizer) -> Mixture:
     """Copies of documents such that each source gives its share of all tokens.
 
     docs: doc_id, source, text; documents of sources without a target take no part,
-        a doc_id given twice counts once, null and empty texts have 0 tokens and
-        are never drawn. total_tokens: size of the mixture; by default the largest
-        at which every source that has tokens reaches its share within its cap. A
-        source that cannot reach its share gives all it may, and one without
-        tokens gives nothing; the report names the share reached beside the target.
+        a doc_id given twice counts once, with one of its rows, null and empty texts have 0 tokens and
+        are never drawn. total_tokens: the budget of the mixture; ``"available"`` takes all tokens of the
+        listed sources. By default it is the largest at which every source that has tokens reaches its share
+        within its cap, so the shares come first. A source that cannot reach its share of the budget
+        gives all it may and falls short, which the report shows (goal_tokens, tokens, share); one without
+        tokens gives nothing.
     """
     spark = docs.sparkSession
     wanted = read_targets(targets)
     known = docs.select("doc_id", "source", "text").where(F.col("source").isin([t.source for t in wanted]) if wanted else F.lit(False))
-    known = known.where("doc_id is not null")
-    counts = token_counts(known.select("doc_id", "text"), **tokenizer).dropDuplicates(["doc_id"])
-    sized = workspace.materialize(
-        known.select("doc_id", "source").dropDuplicates(["doc_id"]).join(counts, "doc_id").where("n_tokens > 0"), "sized"
-    )
+    known = known.where("doc_id is not null").withColumn("__row", F.xxhash64("doc_id", "source", "text"))
+    counts = token_counts(known.select("__row", "text"), key="__row", **tokenizer)
+    one = known.groupBy("doc_id").agg(F.min(F.struct("__row", "source")).alias("r")).select("doc_id", "r.source", "r.__row")
+    # rows given twice have the same number
+    counts = counts.groupBy("__row").agg(F.first("n_tokens").alias("n_tokens")).where("n_tokens > 0")
+    sized = one.join(counts, "__row").select("doc_id", "source", "n_tokens", draw(F.col("doc_id"), F.lit(seed)).alias("u"))
+    sized = workspace.materialize(sized, "sized")
     # one row per target source
     have = {r["source"]: r["t"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
     usable = [t for t in wanted if have.get(t.source)]
     norm = sum(t.share for t in usable) or 1.0
     if total_tokens is None:
         total_tokens = int(min((t.cap * have[t.source] * norm / t.share for t in usable), default=0))
-    goal = {t.source: min(total_tokens * t.share / norm, t.cap * have[t.source]) for t in usable}
-    plans: dict[str, list[list[float]]] = {}
-    for t in usable:
-        mean = mean_for(goal[t.source] / have[t.source], t.cap)
-        means = [mean * g if math.isfinite(mean) else 30.0 * t.cap * g for g in GRID] + [math.inf]
-        plans[t.source] = [thresholds(m, t.cap) for m in means]
-    us = F.array(*[draw(F.col("doc_id"), F.lit(seed * SEEDS + s)) for s in range(SEEDS)])
-    chosen: dict[str, tuple[float, int, list[float]]] = {}
-    if usable:
-        parts = sized.select("source", "n_tokens", us.alias("u")).mapInArrow(_sums(plans), "source string, seed int, grid int, tokens double")
-        # sources x seeds x grid points, whatever the size of the corpus
-        for r in parts.groupBy("source", "seed", "grid").agg(F.sum("tokens").alias("t")).collect():
-            off = abs(r["t"] - goal[r["source"]])
-            best = chosen.get(r["source"])
-            if best is None or (off, r["seed"], r["grid"]) < best[:1] + best[3:]:
-                chosen[r["source"]] = (off, seed * SEEDS + r["seed"], plans[r["source"]][r["grid"]], r["seed"], r["grid"])
+    elif total_tokens == "available":
+        total_tokens = sum(have.values())
+    goal = {t.source: total_tokens * t.share / norm for t in usable}
+    within = {t.source: min(goal[t.source], float(t.cap * have[t.source])) for t in usable}
+    means = _calibrated(sized, usable, within, have) if usable else {}
     plan = spark.createDataFrame(
-        [(s, c[1], [float(x) for x in c[2]]) for s, c in chosen.items()], "source string, seed int, cuts array<double>"
+        [(t.source, [float(x) for x in thresholds(means[t.source], t.cap)]) for t in usable], "source string, cuts array<double>"
     )
     drawn = sized.join(F.broadcast(plan), "source")  # at most MAX_SOURCES rows
-    u = draw(F.col("doc_id"), F.col("seed"))
-    drawn = drawn.withColumn("u", u).withColumn("n", F.size(F.filter("cuts", lambda c: F.col("u") >= c))).where("n > 0")
+    drawn = drawn.withColumn("n", F.size(F.filter("cuts", lambda c: F.col("u") >= c))).where("n > 0")
     copies = drawn.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"), "source", "n_tokens")
     order = F.xxhash64("doc_id", "copy", F.lit(seed))
     report = drawn.groupBy("source").agg(
         F.sum(F.col("n") * F.col("n_tokens")).alias("tokens"), F.max("n").alias("most_uses"), F.count("*").alias("documents")
     )
     goals = spark.createDataFrame(
-        [(t.source, t.share, t.cap, int(have.get(t.source) or 0)) for t in wanted],
-        "source string, target_share double, max_repeats int, available_tokens long",
+        [(t.source, t.share, t.cap, int(have.get(t.source) or 0), int(goal.get(t.source, 0))) for t in wanted],
+        "source string, target_share double, max_repeats int, available_tokens long, goal_tokens long",
     )
     zero = F.lit(0)
     shares = goals.join(report, "source", "left").select(
-        "source", "target_share", "max_repeats", "available_tokens",
+        "source", "target_share", "max_repeats", "available_tokens", "goal_tokens",
         F.coalesce("documents", zero).cast("long").alias("documents"), F.coalesce("most_uses", zero).cast("int").alias("most_uses"),
         F.coalesce("tokens", zero).cast("long").alias("tokens"),
     )

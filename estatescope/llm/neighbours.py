@@ -2,7 +2,9 @@
 
 Vectors are spread over shards around centroids fitted on a bounded sample. Each
 shard builds a robust-pruned directed graph over its members and answers, by beam
-search, its own members and the vectors whose next-nearest centroids it holds. The
+search, its own members and the vectors whose next-nearest centroids it holds. Both
+sides of a task are bounded: a cell of many members is split into shards, and where many vectors ask a shard, further tasks
+build the same graph and answer a part of them each. Every task is a partition of its own. The
 search runs on a projection; what it finds is ranked again on the full vectors,
 and the answers of the shards of one vector are merged. Files of one vector are one
 point: the first of them is searched, and all get the smallest ids of their own
@@ -25,8 +27,8 @@ from estatescope.llm import graph
 
 #: Sample the centroids are fitted on (rows); every vector is indexed whatever it is.
 SAMPLE_ROWS = 20_000
-#: Most members of a shard.
-SHARD_ROWS = 8_000
+#: Most members of a shard, and how many times as many vectors a task answers (both by hash, so about).
+SHARD_ROWS, ASKERS = 8_000, 3
 #: Centroids whose shards are searched for each vector.
 PROBES = 2
 #: Dimensions of the projection searched, degree and beam of the graph, relaxation of its pruning.
@@ -66,24 +68,30 @@ def usable(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(file_id, first, digest): first number and 16 bytes that equal vectors share."""
+    """(file_id, digest): 16 bytes that equal vectors share."""
     for batch in batches:
         rows = np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1) + np.float32(0)
         digests = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in rows]
-        first = rows[:, 0] if rows.size else np.zeros(0, np.float32)
-        yield pa.RecordBatch.from_arrays([batch.column("file_id"), pa.array(first), pa.array(digests, pa.binary())], ["file_id", "first", "digest"])
+        yield pa.RecordBatch.from_arrays([batch.column("file_id"), pa.array(digests, pa.binary())], ["file_id", "digest"])
 
 
-def _copies(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Members (file_id, rep) and first ids (rep, ids) of the classes of two or more files of one vector."""
-    digests = rows.mapInArrow(_digest, "file_id long, first float, digest binary")
-    # an id given with several vectors counts with the least
-    own = workspace.materialize(digests.groupBy("file_id").agg(F.min(F.struct("first", "digest"))["digest"].alias("digest")), "digests")
+def _single(rows: DataFrame, dims: int) -> DataFrame:
+    """Rows with one vector, the least, of every id."""
+    several = workspace.materialize(rows.groupBy("file_id").agg(F.count("*").alias("n")).where("n > 1").select("file_id"), "several")
+    if several.isEmpty():
+        return rows
+    least = rows.join(several, "file_id", "left_semi").groupBy("file_id").agg(F.min("v").alias("v"))
+    return rows.join(several, "file_id", "left_anti").unionByName(workspace.materialize(least, "least"))
+
+
+def _copies(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """Members (file_id, rep) and first ids (rep, ids) of the classes of two or more files of one vector; number of files."""
+    own = workspace.materialize(rows.mapInArrow(_digest, "file_id long, digest binary"), "digests")
     classes = own.groupBy("digest").agg(F.min("file_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep")
     members = workspace.materialize(own.join(classes, "digest").select("file_id", "rep"), "copies")
     least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
     parts = members.groupBy("rep", F.pmod(F.xxhash64("file_id"), F.lit(CLASS_PARTS)).alias("part")).agg(least(F.collect_list("file_id")).alias("ids"))
-    return members, workspace.materialize(parts.groupBy("rep").agg(least(F.flatten(F.collect_list("ids"))).alias("ids")), "firsts")
+    return members, workspace.materialize(parts.groupBy("rep").agg(least(F.flatten(F.collect_list("ids"))).alias("ids")), "firsts"), own.count()
 
 
 def _spread(best: DataFrame, members: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
@@ -129,58 +137,82 @@ def fit_centroids(sample: np.ndarray, rows: int, shard_rows: int) -> np.ndarray:
     return (centroids / np.where(length > 0, length, 1)).astype(np.float32)
 
 
-def _home(centroids: np.ndarray, dims: int):
-    """Arrow map: number of the nearest centroid, counted per batch."""
+def _nearest_cells(batch: pa.RecordBatch, centroids: np.ndarray, probes: int, dims: int) -> np.ndarray:
+    score = unit(matrix(batch.column("v"), dims)).astype(np.float32) @ centroids.T
+    return np.argsort(-score, axis=1, kind="stable")[:, : min(probes, score.shape[1])]
+
+
+def _sizes(centroids: np.ndarray, probes: int, dims: int):
+    """Arrow map: how many vectors are at home in a cell, and how many ask it, counted per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = (unit(matrix(batch.column("v"), dims)).astype(np.float32) @ centroids.T).argmax(axis=1)
-            cell, n = np.unique(near, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n, pa.int64())], ["cell", "n"])
+            cells = _nearest_cells(batch, centroids, probes, dims)
+            home, asked = (np.bincount(c.ravel(), minlength=len(centroids)) for c in (cells[:, 0], cells))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(home)), pa.int32()), pa.array(home, pa.int64()), pa.array(asked, pa.int64())], ["cell", "home", "asked"])
 
     return run
 
 
-def _route(centroids: np.ndarray, splits: np.ndarray, probes: int, dims: int):
-    """Arrow map: one row per vector and shard that holds or answers it."""
-    first = np.concatenate([[0], np.add.accumulate(splits)])
+def _route(centroids: np.ndarray, splits: np.ndarray, slices: np.ndarray, probes: int, dims: int):
+    """Arrow map: one row per vector and task that holds or answers it. A cell has a task for every one of its
+    ``splits`` shards and every one of its ``slices`` of the vectors that ask."""
+    first = np.concatenate([[0], np.cumsum(splits * slices)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column("file_id"))
-            rows = unit(matrix(batch.column("v"), dims)).astype(np.float32)
-            score = rows @ centroids.T
-            p = min(probes, score.shape[1])
-            cells = np.argsort(-score, axis=1, kind="stable")[:, :p]
-            own = first[cells[:, 0]] + (ids * 2654435761 % 2**32) % splits[cells[:, 0]]
-            who, shard = [], []
-            for k in range(p):
-                n = splits[cells[:, k]]
+            cells = _nearest_cells(batch, centroids, probes, dims)
+            own = (ids * 2654435761 % 2**32) % splits[cells[:, 0]]
+            part = ids * 40503 % 2**31 // 7
+            who, task, member, asks = [], [], [], []
+            for k in range(cells.shape[1]):
+                cell = cells[:, k]
+                n = splits[cell] * slices[cell]
                 at = np.repeat(np.arange(len(ids)), n)
-                who.append(at)
-                shard.append(np.repeat(first[cells[:, k]], n) + np.arange(len(at)) - np.repeat(np.add.accumulate(n) - n, n))
-            who, shard = np.concatenate(who), np.concatenate(shard)
+                number = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                shard, piece = number // slices[cell][at], number % slices[cell][at]
+                holds = (shard == own[at]) if k == 0 else np.zeros(len(at), bool)
+                answered = piece == part[at] % slices[cell][at]
+                keep = holds | answered
+                who.append(at[keep])
+                task.append((first[cell][at] + number)[keep])
+                member.append(holds[keep])
+                asks.append(answered[keep])
+            who, task, member, asks = (np.concatenate(x) for x in (who, task, member, asks))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), pa.array(ids[who]), pa.array(own[who] == shard), batch.column("v").take(pa.array(who))],
-                ["shard", "file_id", "member", "v"],
+                [pa.array(task, pa.int32()), pa.array(ids[who]), pa.array(member), pa.array(asks), batch.column("v").take(pa.array(who))],
+                ["task", "file_id", "member", "asks", "v"],
             )
 
     return run
 
 
+def _by_task(search):
+    """Arrow map over partitions that hold whole tasks: ``search`` of every task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        task = np.asarray(table.column("task"))
+        for t in np.unique(task):
+            yield from search(table if (task == t).all() else table.filter(pa.array(task == t))).to_batches(max_chunksize=10_000)
+
+    return run
+
+
 def _search(k: int, dims: int):
-    """Arrow group map: graph over the members of a shard, k best others of every vector sent to it."""
+    """Graph over the members of a task, k best others of every vector that asks."""
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("file_id")
         ids, full = np.asarray(table.column("file_id")), unit(matrix(table.column("v"), dims))
-        member = np.asarray(table.column("member").combine_chunks().to_numpy(zero_copy_only=False)).astype(bool)
-        # repeated rows of an id count once: members first, then the least vector
-        order = np.lexsort((full[:, 0], ~member, ids))
-        keep = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
-        ids, full, member = ids[keep], full[keep], member[keep]
-        home = np.flatnonzero(member)
+        member, asks = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False).astype(bool) for c in ("member", "asks"))
+        home, asking = np.flatnonzero(member), np.flatnonzero(asks)
         empty = {"file_id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())}
-        if not len(home):
+        if not len(home) or not len(asking):
             return pa.table(empty)
         low = full
         if dims > PROJECTION:
@@ -195,8 +227,8 @@ def _search(k: int, dims: int):
         place = np.full(len(ids), -1, np.int64)
         place[home] = np.arange(len(home))
         out = []
-        for start in range(0, len(ids), 1000):
-            q = np.arange(start, min(start + 1000, len(ids)))
+        for start in range(0, len(asking), 1000):
+            q = asking[start : start + 1000]
             entry = pivots[(low[q] @ points[pivots].T).argmax(axis=1)]
             entry = np.where(place[q] >= 0, place[q], entry)[:, None]
             found, _ = graph.beam_search(points, edges, low[q], entry, BEAM)
@@ -229,10 +261,8 @@ def nearest(
     usable vector the result is empty. Beyond 0.75 x ``shard_rows`` x ``sample_rows`` / 8
     vectors, ``sample_rows`` must grow with the collection.
     """
-    spark = df.sparkSession
-    rows = usable(df, key, vector, dims)
-    total = df.count()
-    members, firsts = _copies(rows, k)
+    rows = _single(usable(df, key, vector, dims), dims)
+    members, firsts, total = _copies(rows, k)
     copied = not members.isEmpty()
     if copied:
         rows = rows.join(members.where("file_id <> rep").select("file_id"), "file_id", "left_anti")
@@ -243,21 +273,19 @@ def nearest(
         points = np.eye(1, dims, dtype=np.float32)
     centroids = fit_centroids(points, total, shard_rows)
     # one row per centroid
-    sizes = np.zeros(len(centroids), np.int64)
-    for r in rows.select("v").mapInArrow(_home(centroids, dims), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        sizes[r["cell"]] = r["n"]
-    splits = np.maximum(1, -(-sizes // shard_rows))
-    routed = rows.mapInArrow(
-        _route(centroids, splits, probes, dims), "shard int, file_id long, member boolean, v array<float>"
-    )
-    found = (
-        routed.repartition(max(int(splits.sum()), 1), "shard")
-        .groupBy("shard").applyInArrow(_search(k, dims), "file_id long, other long, similarity double")
-    )
-    # at most k answers of each of the few shards asked
-    best = found.groupBy("file_id").agg(
-        F.slice(F.array_sort(F.array_distinct(F.collect_list(F.struct((-F.col("similarity")).alias("d"), "other")))), 1, k).alias("best")
-    )
+    home, asked = np.zeros((2, len(centroids)), np.int64)
+    sizes = rows.select("v").mapInArrow(_sizes(centroids, probes, dims), "cell int, home long, asked long")
+    for r in sizes.groupBy("cell").agg(F.sum("home").alias("home"), F.sum("asked").alias("asked")).collect():
+        home[r["cell"]], asked[r["cell"]] = r["home"], r["asked"]
+    splits = np.maximum(1, -(-home // shard_rows))
+    slices = np.maximum(1, -(-asked // (ASKERS * shard_rows)))
+    routed = rows.mapInArrow(_route(centroids, splits, slices, probes, dims), "task int, file_id long, member boolean, asks boolean, v array<float>")
+    # the number of a task is the number of its partition, so no two share one
+    found = routed.repartitionById(int((splits * slices).sum()), F.col("task")).mapInArrow(_by_task(_search(k, dims)), "file_id long, other long, similarity double")
+    # at most k answers of each of the few shards asked; of a neighbour found twice the best counts
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("d"), "other")))
+    once = F.filter("all", lambda x, i: ~F.exists(F.slice("all", 1, i), lambda y: y["other"] == x["other"]))
+    best = found.groupBy("file_id").agg(ranked.alias("all")).select("file_id", F.slice(once, 1, k).alias("best"))
     if copied:
         best = _spread(best, members, firsts, k)
     listed = best.select("file_id", F.posexplode("best").alias("at", "b"))

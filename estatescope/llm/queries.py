@@ -11,7 +11,7 @@ from estatescope.sources.tables import load
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Representative of every group of files with one content."""
-    return survivorship.representatives(load(spark, sf_dir, "files")).select("group_id", "survivor_id")
+    return survivorship.representatives(load(spark, sf_dir, "files"))
 
 
 def p1_golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five most similar files of every file, with similarity and place."""
-    return neighbours.nearest(load(spark, sf_dir, "file_embeddings"), 5)
+    return neighbours.nearest(load(spark, sf_dir, "file_embeddings"), 5).withColumn("similarity", F.round("similarity", 6))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(load(spark, sf_dir, "documents"))
 
 
+def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document, decoded from its token ids."""
+    return encode.decode(encode.encode(load(spark, sf_dir, "documents")))
+
+
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture: copies of documents in global random order."""
     return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets")).copies
@@ -89,6 +94,11 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets")).shares
 
 
+def p9_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of a mixture as large as the listed sources together, where scarce sources fall short."""
+    return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"), total_tokens="available").shares
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that had to be cut: those with a second piece."""
     return splitting.split(load(spark, sf_dir, "documents"), with_text=False).where("piece = 1").select("doc_id").distinct()
@@ -103,8 +113,8 @@ QUERIES = {
     "p1_found": p1_found, "p1_golden_records": p1_golden_records, "p2_found": p2_found,
     "p2_restored": p2_restored, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found,
     "p4_repaired": p4_repaired, "p5_found": p5_found,
-    "p5_groups": p5_groups, "p7_found": p7_found, "p8_ids": p8_ids,
-    "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
+    "p5_groups": p5_groups, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded,
+    "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_budget": p9_budget, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
 
 _DIGEST = r"regexp_replace(regexp_replace(lower(regexp_replace(sha256, '^\s+|\s+$', '', 'g')), '^(?:sha-?256|0x)\s*[:=\-]?\s*', ''), '[\s:\-_]', '', 'g')"
@@ -120,22 +130,32 @@ def _best(value: str, name: str) -> str:
     return f"arg_max(struct_pack(v := {value}), row({order})).v as {name}"
 
 
-SQL = {
-    "p3_found": """
-        with v as (select file_id as id, min(embedding)::double[] as e from file_embeddings where len(embedding) = 384
+_NEAR = """with v as (select file_id as id, min(embedding)::double[] as e from file_embeddings where len(embedding) = 384
             and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0)) group by 1),
-        r as (select a.id as a, b.id as b, row_number() over (partition by a.id order by list_cosine_similarity(a.e, b.e) desc, b.id) as place from v a join v b on a.id <> b.id)
-        select distinct least(a, b) as id_a, greatest(a, b) as id_b from r where place <= 5""",
-    "p5_found": r"""
-        with w as (select id, list_filter(regexp_split_to_array(lower(text_excerpt), '[ \t\n\f\r]+'), lambda x: x <> '') as ws, text_excerpt as t
+        r as (select a.id as a, b.id as b, list_cosine_similarity(a.e, b.e) as s,
+            row_number() over (partition by a.id order by list_cosine_similarity(a.e, b.e) desc, b.id) as place from v a join v b on a.id <> b.id)"""
+_VERSIONS = r"""
+        w as (select id, list_filter(regexp_split_to_array(lower(text_excerpt), '[ \t\n\f\r]+'), lambda x: x <> '') as ws, text_excerpt as t
                    from files where text_excerpt is not null),
         d as (select min(id) as rep, t, any_value(ws) as ws from w where len(ws) >= 20 group by t),
         g as (select distinct rep, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) as g from d),
         n as (select rep, count(*) as n from g group by rep),
         c as (select a.rep as a, b.rep as b, count(*) as s from g a join g b on a.g = b.g and a.rep < b.rep group by 1, 2),
-        p as (select a, b from c join n x on x.rep = a join n y on y.rep = b where s >= 0.5 * (x.n + y.n - s)),
-        m as (select d.rep, w.id from d join w on w.t = d.t)
+        p as (select a, b from c join n x on x.rep = a join n y on y.rep = b where s >= 0.5 * (x.n + y.n - s))"""
+
+SQL = {
+    "p3_found": f"{_NEAR} select distinct least(a, b) as id_a, greatest(a, b) as id_b from r where place <= 5",
+    "p3_neighbours": f"{_NEAR} select a as file_id, b as other, round(s, 6) as similarity, cast(place as integer) as place from r where place <= 5",
+    "p5_found": f"""with {_VERSIONS}, m as (select d.rep, w.id from d join w on w.t = d.t)
         select least(x.id, y.id) as id_a, greatest(x.id, y.id) as id_b from p join m x on x.rep = p.a join m y on y.rep = p.b""",
+    # texts of fewer characters than 20 words take are in no class
+    "p5_groups": f"""with recursive {_VERSIONS}, ends as (select a as u, b as v from p union all select b, a from p),
+        reach as (select u as x, u as root from ends union select e.v, r.root from reach r join ends e on e.u = r.x),
+        h as (select x, min(root) as root from reach group by x), l as (select u, count(*) as n from ends group by u),
+        m as (select id, min(id) over (partition by t) as rep from w where length(t) >= 39)
+        select m.id, coalesce(h.root, m.rep) as group_id, m.rep as class_id, cast(coalesce(l.n, 0) as bigint) as links
+        from m left join h on h.x = m.rep left join l on l.u = m.rep""",
+    "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
     "p1_found": f"""
         select min(id) as group_id, max(case when rn = 1 then id end) as survivor_id from (
           select digest, id, row_number() over (partition by digest order by {_RANK}) as rn from ({_HASHED}))

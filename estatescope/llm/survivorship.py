@@ -51,22 +51,6 @@ def _field(value: Column, trust: Column, name: str) -> Column:
     ).alias(name)
 
 
-def representatives(files: DataFrame) -> DataFrame:
-    """(group_id, members, survivor_id) of every group of two or more ids with one sha256.
-
-    The digest is compared however written; null or malformed digests and null ids
-    belong to no group. A row given twice counts once, since members are distinct
-    ids. Only the named columns are read, so further columns cannot clash.
-    """
-    rows = files.select(
-        F.unhex(digest_key(F.col("sha256"))).alias("digest"), "id", rank_struct().alias("rank")
-    ).where("digest is not null and id is not null")
-    groups = rows.groupBy("digest").agg(
-        F.min("id").alias("group_id"), F.max("id").alias("high"), F.count("*").alias("members"), F.max("rank").alias("best")
-    )
-    return groups.where("group_id < high").select("group_id", "members", (-F.col("best.low_id")).alias("survivor_id"))
-
-
 def golden_records(files: DataFrame, trust: Column | None = None) -> DataFrame:
     """One built record per group of two or more ids with one sha256.
 
@@ -100,3 +84,13 @@ def golden_records(files: DataFrame, trust: Column | None = None) -> DataFrame:
         F.col("f_year.value").alias("modification_year"),
         F.col("f_depth.value").alias("depth"),
     )
+
+
+def representatives(files: DataFrame) -> DataFrame:
+    """(group_id, survivor_id) of every group of two or more ids with one sha256: the whole members that rank first
+    in the aggregation of :func:`golden_records`.
+
+    The digest is compared however written; null or malformed digests and null ids belong to no group, and a row
+    given twice is no group.
+    """
+    return golden_records(files).select("group_id", "survivor_id")

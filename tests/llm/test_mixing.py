@@ -32,3 +32,24 @@ def test_source_too_small_and_source_without_texts(spark):
     m = mix(docs, targets, total_tokens=1_000_000)
     got = {r.source: (r.most_uses, r.tokens) for r in m.shares.collect()}
     assert got["a"][0] == 1 and got["b"][0] == 2 and got["c"] == (0, 0)
+
+
+def test_budget_beyond_what_a_source_has(spark):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 500, "big").otherwise("small").alias("source"), F.expr("repeat('palabra nueva ', cast(1 + id % 7 as int))").alias("text"))
+    targets = spark.createDataFrame([("big", 0.5, 3), ("small", 0.5, 2)], "source string, target_share double, max_repeats int")
+    got = {r.source: r for r in mix(docs, targets, total_tokens="available").shares.collect()}
+    assert got["small"].most_uses == 2 and got["small"].tokens == 2 * got["small"].available_tokens < got["small"].goal_tokens
+    assert abs(got["big"].tokens - got["big"].goal_tokens) <= 20 and got["big"].share > 0.5
+
+
+def test_one_row_of_a_document_counts(spark):
+    rows = [(1, "a", "uno"), (1, "b", "uno dos tres cuatro cinco seis siete"), (2, "a", "dos tres"), (3, "b", "cuatro")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    m = mix(docs, targets, total_tokens=1_000)
+    used = m.copies.collect()
+    assert sorted(r.doc_id for r in used) == [1, 2, 3]
+    whole = {(d, s): t for d, s, t in rows}
+    from estatescope.llm.vocabulary import encoding
+
+    assert all(r.n_tokens == len(encoding().encode_ordinary(whole[r.doc_id, r.source])) for r in used)

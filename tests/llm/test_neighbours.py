@@ -69,3 +69,21 @@ def test_many_files_of_one_vector(spark):
         assert [o for _, o, _ in sorted(by[5000 - i])] == [o for o in low if o != 5000 - i][:5]
     for i in (710, 711, 712):
         assert [o for _, o, _ in sorted(by[5000 - i])][:2] == [o for o in (4288, 4289, 4290) if o != 5000 - i]
+
+
+def test_many_askers_and_ids_of_several_vectors(spark, monkeypatch):
+    from estatescope.llm import neighbours
+
+    x = clustered(900, 16, 6)
+    rows = [(i, [float(v) for v in x[i]]) for i in range(900)]
+    # an id given with several vectors counts with the least
+    rows += [(i, [float(v) + 1.0 for v in x[i]]) for i in range(40)]
+    df = spark.createDataFrame(rows, "file_id long, embedding array<float>")
+    monkeypatch.setattr(neighbours, "ASKERS", 1)
+    got = nearest(df, 5, dims=16, sample_rows=400, shard_rows=150).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.file_id, []).append((r.place, r.other))
+    assert set(by) == set(range(900)) and all(len({o for _, o in v}) == 5 and sorted(p for p, _ in v) == [1, 2, 3, 4, 5] for v in by.values())
+    best = truth(x, 5)
+    assert np.mean([len({o for _, o in by[i]} & set(best[i])) / 5 for i in range(900)]) > 0.9
