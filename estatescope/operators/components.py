@@ -13,6 +13,8 @@ the edges of a hub can be split over tasks (AQE skew join).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +58,12 @@ def components(pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
     left = forest[0].select("child")
     for part in forest[1:]:
         left = left.union(part.select("child"))
-    labels = seeds.join(left, seeds.id == left.child, "left_anti").select("id", F.col("id").alias("group_id"))
+    # one table per level of the forest; none is written twice
+    levels = [seeds.join(left, seeds.id == left.child, "left_anti").select("id", F.col("id").alias("group_id"))]
+    levels[0] = workspace.materialize(levels[0], "labels")
     # the last vertices to leave hang highest: walk the forest from the top down
     for part in reversed(forest):
+        labels = reduce(DataFrame.union, levels)
         below = part.join(labels, part.parent == labels.id).select(F.col("child").alias("id"), "group_id")
-        labels = workspace.materialize(labels.union(below), "labels")
-    return labels
+        levels.append(workspace.materialize(below, "labels"))
+    return reduce(DataFrame.union, levels)
