@@ -16,9 +16,9 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, _EDGES, "")
 
 
-def safe_str(col: Column, default: str = "") -> Column:
+def safe_str(col: Column, default: str | None = "") -> Column:
     """Trimmed text; ``default`` for null only."""
-    return F.coalesce(strip(col), F.lit(default))
+    return F.coalesce(strip(col), F.lit(default).cast("string"))
 
 
 def safe_int(col: Column, default: int | None = None) -> Column:

@@ -8,20 +8,37 @@ from pyspark.sql import functions as F
 from estatescope import workspace
 
 
+#: Members up to which a group's paths are listed in one row.
+MOST_LISTED = 100
+
+
+def _groups(files: DataFrame) -> DataFrame:
+    g = files.where("sha256 is not null").groupBy("xxhash64", "sha256").agg(F.count("*").alias("total"), F.min("full_path").alias("first_path"))
+    return g.where("total > 1")
+
+
+def _members(files: DataFrame, groups: DataFrame) -> DataFrame:
+    g = groups.select(F.col("xxhash64").alias("__x"), F.col("sha256").alias("__s"))
+    return files.join(g, (F.col("sha256") == F.col("__s")) & F.col("xxhash64").eqNullSafe(F.col("__x")), "left_semi").select("xxhash64", "sha256", "full_path")
+
+
 def duplicate_groups(files: DataFrame) -> DataFrame:
     """Groups of two or more files of one (xxhash64, sha256), the largest first.
 
-    total, first_path and the sorted paths joined by '; '. The listing is the report
-    itself, so a group's paths are gathered; every other operator here works on
-    aggregates only.
+    total, first_path and, up to MOST_LISTED files, the sorted paths joined by '; '. The files of larger groups are
+    rows of :func:`duplicate_members`.
     """
-    groups = files.where("sha256 is not null").groupBy("xxhash64", "sha256").agg(
-        F.count("*").alias("total"), F.array_sort(F.collect_list("full_path")).alias("p")
-    )
-    return groups.where("total > 1").select(
-        "xxhash64", "sha256", "total", F.array_join("p", "; ").alias("paths"),
-        F.element_at(F.split(F.get("p", F.lit(0)), "/"), -1).alias("first_name"),
-    ).orderBy(F.desc("total"), "sha256", "xxhash64")
+    groups = _groups(files)
+    listed = _members(files, groups.where(F.col("total") <= MOST_LISTED)).groupBy("xxhash64", "sha256").agg(F.array_join(F.array_sort(F.collect_list("full_path")), "; ").alias("paths"))
+    l = listed.select(F.col("xxhash64").alias("__x"), F.col("sha256").alias("__s"), "paths")  # noqa: E741
+    out = groups.join(l, (F.col("sha256") == F.col("__s")) & F.col("xxhash64").eqNullSafe(F.col("__x")), "left")
+    name = F.element_at(F.split("first_path", "/"), -1)
+    return out.select("xxhash64", "sha256", "total", "first_path", name.alias("first_name"), "paths").orderBy(F.desc("total"), "sha256", "xxhash64")
+
+
+def duplicate_members(files: DataFrame) -> DataFrame:
+    """(xxhash64, sha256, full_path) of every file of every group, whatever its size."""
+    return _members(files, _groups(files))
 
 
 def duplicate_summary(files: DataFrame) -> DataFrame:

@@ -82,14 +82,40 @@ def extract_result_text(results: DataFrame) -> DataFrame:
 def reconcile_results(results: DataFrame, tasks: DataFrame, worker: str, key: str = "correlation_id") -> DataFrame:
     """Answers of one worker joined to the file their task was for.
 
-    tasks: (correlation_id, file_id); ids are compared however written. A result of no
-    known task is dropped. ``done`` is false for errors and empty answers, whose task
+    tasks: (correlation_id, file_id); ids are compared however written, and ``correlation_key`` is what equal ones
+    share. A result of no known task is dropped. ``done`` is false for errors and empty answers, whose task
     stays open.
     """
-    known = tasks.select(uuid_key(F.col(key)).alias("__k"), F.col("file_id")).where("__k is not null").groupBy("__k").agg(F.min("file_id").alias("file_id"))
+    known = keyed_tasks(tasks, key)
     mine = validate_results(results).where((F.col("model") == worker) & F.col("problem").isNull())
-    answered = extract_result_text(mine.withColumn("__k", uuid_key(F.col(key))))
-    return answered.join(known, "__k").drop("__k").withColumn("done", F.col("text").isNotNull())
+    answered = extract_result_text(mine.withColumn("correlation_key", uuid_key(F.col(key))))
+    return answered.join(known, "correlation_key").withColumn("done", F.col("text").isNotNull())
+
+
+def keyed_tasks(tasks: DataFrame, key: str = "correlation_id") -> DataFrame:
+    """(correlation_key, file_id) of every task; of several files under one id the least counts."""
+    keyed = tasks.select(uuid_key(F.col(key)).alias("correlation_key"), "file_id").where("correlation_key is not null")
+    return keyed.groupBy("correlation_key").agg(F.min("file_id").alias("file_id"))
+
+
+def first_answers(answers: DataFrame, *order: str) -> DataFrame:
+    """(correlation_key, file_id, text, at) of the first answer of every task, by the columns ``order`` (nulls last)."""
+    place = F.struct(*[x.alias(f"p{i}{j}") for i, c in enumerate(order) for j, x in enumerate((F.col(c).isNull(), F.col(c)))])
+    one = answers.where("done").groupBy("correlation_key").agg(F.min(F.struct(place.alias("at"), "file_id", "text")).alias("r"))
+    return one.select("correlation_key", "r.file_id", "r.text", "r.at")
+
+
+def answered_files(firsts: DataFrame) -> DataFrame:
+    """(file_id, text, chars): of several tasks of one file the one answered last writes last."""
+    last = firsts.groupBy("file_id").agg(F.max(F.struct("at", "correlation_key", "text"))["text"].alias("text"))
+    return last.select("file_id", "text", F.length("text").alias("chars"))
+
+
+def open_tasks(tasks: DataFrame, firsts: DataFrame, key: str = "correlation_id") -> DataFrame:
+    """Tasks none of whose answers, however the id is written, has been stored."""
+    done = firsts.select("correlation_key").distinct()
+    marked = tasks.withColumn("__k", uuid_key(F.col(key)))
+    return marked.join(done, marked["__k"] == done["correlation_key"], "left_anti").drop("__k")
 
 
 def retry_state(results: DataFrame, most: int = 3) -> DataFrame:

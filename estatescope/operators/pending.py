@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatescope import workspace
 from estatescope.functions.paths import extension_of_path
 
 #: File types of pictures, for the document detector and for captions.
@@ -115,9 +116,10 @@ def chunk_numbers(df: DataFrame, size: int) -> DataFrame:
     """``df`` with the number of the batch of ``size`` rows it falls into, by id.
 
     Ranks are counted per range partition and offset by the sizes of the ranges
-    before, so no single task orders the table.
+    before, so no single task orders the table. The ranges are written once, since they may be cut
+    differently each time they are made.
     """
-    ranged = df.repartitionByRange("id").withColumn("__p", F.spark_partition_id())
+    ranged = workspace.materialize(df.repartitionByRange("id").withColumn("__p", F.spark_partition_id()), "ranges")
     local = ranged.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy("id")))
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("__n"))  # one row per partition
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

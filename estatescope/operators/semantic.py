@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from estatescope import workspace
 from estatescope.operators.components import components
 
-#: Rows per block of the searched side and of the query side.
-BLOCK_ROWS, QUERY_ROWS = 32_768, 2_048
+#: Queries that go through the rows together (25 MB), and those multiplied at once.
+QUERY_ROWS, STEP_ROWS = 16_384, 512
 #: Vectors per cell aimed at when all are held against all, and most rows of one side of a task.
 CELL_ROWS, PART_ROWS = 4_000, 8_192
 
@@ -34,43 +34,59 @@ def usable_vectors(embeddings: DataFrame, dims: int = 384) -> DataFrame:
     return good.groupBy("file_id").agg(F.min("embedding").alias("embedding"))
 
 
-def _blocks(queries: DataFrame, rows: DataFrame, dims: int, best):
-    """Run ``best(query ids, query rows, ids, rows, types...)`` on every pair of a query block and a row block.
+def _sides(files: DataFrame, embeddings: DataFrame, every: int, dims: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and searched rows (id, kind, embedding), each written once."""
+    joined = files.select("id", F.lower("file_type").alias("kind"), "canonical_id").join(usable_vectors(embeddings, dims).withColumnRenamed("file_id", "id"), "id")
+    joined = workspace.materialize(joined.where(F.col("canonical_id").isNull() | (F.col("id") % every == 0)), "vectors")
+    return joined.where(F.col("id") % every == 0).select("id", "kind", "embedding"), joined.where("canonical_id is null").select("id", "kind", "embedding")
 
-    Both sides are cut into blocks of bounded size by hash; every query block meets
-    every row block in a task of its own.
-    """
-    n_rows, n_queries = rows.count(), queries.count()
-    r, q = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
-    left = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q)).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(r - 1))))
-    right = rows.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(r)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q - 1))))
 
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        side = lambda t: (
-            np.asarray(t.column("id")), np.asarray(t.column("embedding").combine_chunks().flatten()).astype(np.float64).reshape(-1, dims),
-            np.array([x or "" for x in t.column("kind").to_pylist()], object), np.array([x is None for x in t.column("kind").to_pylist()], bool),
-        )
-        i, j, s = best(side(a), side(b))
-        return pa.table({"id": pa.array(i, pa.int64()), "other": pa.array(j, pa.int64()), "similarity": pa.array(s, pa.float64())})
+def _matches(ids: np.ndarray, x: np.ndarray, by_kind: dict[str, np.ndarray], dims: int, take, rest):
+    """Arrow map over the rows: ``take`` gets the distances of the rows of one type and the queries they may meet, of
+    their own type (all, where a row's is unknown), a few queries at a time; ``rest`` ends a partition."""
 
-    return left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInArrow(run, "id long, other long, similarity double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict = {}
+        for batch in batches:
+            y, other = _unit(batch.column("embedding"), dims), np.asarray(batch.column("id"))
+            kinds = batch.column("kind").to_pylist()
+            at: dict[str | None, list[int]] = {}
+            for i, k in enumerate(kinds):
+                at.setdefault(k, []).append(i)
+            for kind, rows in at.items():
+                queries = np.arange(len(ids)) if kind is None else by_kind.get(kind, np.zeros(0, np.int64))
+                for start in range(0, len(queries), STEP_ROWS):
+                    q = queries[start : start + STEP_ROWS]
+                    distance = np.sqrt(np.maximum(2.0 - 2.0 * (x[q] @ y[rows].T), 0.0))
+                    yield from take(state, q, other[rows], distance)
+        yield from rest(state)
 
+    return run
 
-def _sides(files: DataFrame, embeddings: DataFrame, every: int, dims: int) -> tuple[DataFrame, DataFrame]:
-    vectors = usable_vectors(embeddings, dims)
-    joined = files.select("id", F.lower("file_type").alias("kind"), "canonical_id").join(vectors.withColumnRenamed("file_id", "id"), "id")
-    # fresh columns on both sides: they meet in one plan
-    fresh = [F.col(c).alias(c) for c in ("id", "kind", "embedding")]
-    return joined.where(F.col("id") % every == 0).select(*fresh), joined.where("canonical_id is null").select(*fresh)
 
+def _found(i: np.ndarray, j: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(s, pa.float64())], ["id", "other", "similarity"])
 
-def _distances(a, b):
-    """L2 distances between unit vectors, and which rows a query may meet: its own file type, or an unknown one."""
-    (_, x, kind_x, _), (_, y, kind_y, null_y) = a, b
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
-    y = y / np.linalg.norm(y, axis=1, keepdims=True)
-    distance = np.sqrt(np.maximum(2.0 - 2.0 * (x @ y.T), 0.0))
-    return distance, null_y[None, :] | (kind_x[:, None] == kind_y[None, :])
+
+def _search(queries: DataFrame, rows: DataFrame, dims: int, make) -> DataFrame:
+    """(id, other, similarity) by passing blocks of at most about QUERY_ROWS queries, one after the other, over the rows.
+
+    A block reaches the driver and goes to every task; the rows are read where they lie and never shuffled.
+    """
+    blocks = max(1, -(-queries.count() // QUERY_ROWS))
+    out = None
+    for block in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
+        table = part.toArrow()
+        ids = np.asarray(table.column("id"), np.int64)
+        x = _unit(table.column("embedding").combine_chunks(), dims) if len(ids) else np.zeros((0, dims))
+        kinds: dict[str, list[int]] = {}
+        for i, k in enumerate(table.column("kind").to_pylist()):
+            kinds.setdefault(k or "", []).append(i)
+        by_kind = {k: np.array(v, np.int64) for k, v in kinds.items()}
+        found = rows.mapInArrow(_matches(ids, x, by_kind, dims, *make(ids)), "id long, other long, similarity double")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def knn_topk(files: DataFrame, embeddings: DataFrame, k: int = 20, every: int = 50, dims: int = 384) -> DataFrame:
@@ -81,16 +97,25 @@ def knn_topk(files: DataFrame, embeddings: DataFrame, k: int = 20, every: int =
     """
     queries, rows = _sides(files, embeddings, every, dims)
 
-    def best(a, b):
-        distance, allowed = _distances(a, b)
-        distance = np.where(allowed, np.round(distance, 9), np.inf)
-        order = np.lexsort((np.broadcast_to(b[0], distance.shape), distance), axis=1)[:, :k]
-        d = np.take_along_axis(distance, order, 1)
-        fine = np.isfinite(d)
-        return np.broadcast_to(a[0][:, None], d.shape)[fine], b[0][order][fine], d[fine]
-
-    found = _blocks(queries, rows, dims, best)
-    # k answers per row block
+    def make(ids: np.ndarray):
+        def take(state, q, other, distance):
+            if not state:
+                state["d"], state["o"] = np.full((len(ids), k), np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+            d = np.concatenate([state["d"][q], np.round(distance, 9)], axis=1)
+            o = np.concatenate([state["o"][q], np.broadcast_to(other, distance.shape)], axis=1)
+            order = np.lexsort((o, d), axis=1)[:, :k]
+            state["d"][q], state["o"][q] = np.take_along_axis(d, order, 1), np.take_along_axis(o, order, 1)
+            return ()
+
+        def rest(state):
+            if state:
+                i, place = np.nonzero(np.isfinite(state["d"]))
+                yield _found(ids[i], state["o"][i, place], state["d"][i, place])
+
+        return take, rest
+
+    # k answers of every partition of the rows
+    found = _search(queries, rows, dims, make)
     nearest = found.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.col("similarity").alias("d"), "other"))), 1, k).alias("n"))
     listed = nearest.select("id", F.posexplode("n").alias("p", "n"))
     cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 1 - F.col("n.d") * F.col("n.d") / 2))
@@ -101,13 +126,16 @@ def semantic_edges(files: DataFrame, embeddings: DataFrame, threshold: float = 0
     """(id, other, similarity) of query files and other canonical files of their type at the threshold or above."""
     queries, rows = _sides(files, embeddings, every, dims)
 
-    def best(a, b):
-        distance, allowed = _distances(a, b)
-        similarity = np.clip(1.0 - distance * distance / 2, -1.0, 1.0)
-        i, j = np.nonzero(allowed & (similarity >= threshold) & (a[0][:, None] != b[0][None, :]))
-        return a[0][i], b[0][j], similarity[i, j]
+    def make(ids: np.ndarray):
+        def take(state, q, other, distance):
+            similarity = np.clip(1.0 - distance * distance / 2, -1.0, 1.0)
+            i, j = np.nonzero((similarity >= threshold) & (ids[q][:, None] != other[None, :]))
+            if len(i):
+                yield _found(ids[q][i], other[j], similarity[i, j])
+
+        return take, lambda state: ()
 
-    return _blocks(queries, rows, dims, best).withColumn("similarity", F.round("similarity", 6))
+    return _search(queries, rows, dims, make).withColumn("similarity", F.round("similarity", 6))
 
 
 def _unit(column: pa.Array, dims: int) -> np.ndarray:

@@ -10,6 +10,10 @@ from estatescope.operators import dashboards, dedup, merge, reports, semantic, s
 from estatescope.sources.tables import load
 
 
+#: Bytes of a large file in these tables; few of their files reach the pipeline's own limit.
+LARGE = 1 << 20
+
+
 def _on_files(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(load(spark, sf_dir, "files"))
@@ -18,8 +22,43 @@ def _on_files(fn):
     return run
 
 
-def _tree(spark, sf_dir):
-    return star.dim_directory(load(spark, sf_dir, "files"))
+def _on_star(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(star.build(load(spark, sf_dir, "files")))
+
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _natural(fn, *columns):
+    """A dimension without its surrogate keys, which are hashes no SQL knows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(load(spark, sf_dir, "files")).drop("directory_id", "parent_id", "filetype_id", "classification_id", "group_id")
+
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def directory_children(spark, sf_dir):
+    """Parents and numbers of children, by the keys of the directory dimension."""
+    return star.directory_children(star.dim_directory(load(spark, sf_dir, "files"))).drop("directory_id")
+
+
+def fact_keys(spark, sf_dir):
+    """Facts whose keys are followed back to the natural values of every dimension."""
+    s = star.build(load(spark, sf_dir, "files"))
+    facts = s.facts.select("file_id", "directory_id", "filetype_id", "classification_id", "group_id", "is_canonical", "text_chars_extracted")
+    back = facts.join(s.directories.select("directory_id", "path", "parent_id"), "directory_id", "left").join(s.file_types, "filetype_id", "left")
+    back = back.join(s.classes, "classification_id", "left").join(s.groups, "group_id", "left")
+    above = s.directories.select(F.col("directory_id").alias("parent_id"), F.col("path").alias("parent_path"))
+    return back.join(above, "parent_id", "left").select("file_id", "path", "parent_path", "file_type", "categoria", "canonical_id", "is_canonical", "text_chars_extracted")
+
+
+def kpi_overview(spark, sf_dir):
+    """Key figures over facts, dimensions and inventory."""
+    files = load(spark, sf_dir, "files")
+    return dashboards.kpis(star.build(files), files)
 
 
 def _published(files: DataFrame) -> DataFrame:
@@ -79,26 +118,28 @@ def semantic_clusters_greedy(spark, sf_dir):
 
 
 QUERIES = {
-    "duplicate_groups": _on_files(dedup.duplicate_groups), "duplicate_summary": _on_files(dedup.duplicate_summary),
+    "duplicate_groups": _on_files(dedup.duplicate_groups), "duplicate_members": _on_files(dedup.duplicate_members), "duplicate_summary": _on_files(dedup.duplicate_summary),
     "hash_canonical": _on_files(dedup.hash_canonical), "choose_canonical": _on_files(dedup.choose_canonical), "compress_pointers": _on_files(dedup.compress_pointers),
     "audit_totals": _on_files(reports.audit_totals), "type_distribution": _on_files(reports.type_distribution),
-    "depth_distribution": _on_files(reports.depth_distribution), "large_file_listing": _on_files(reports.large_file_listing),
+    "depth_distribution": _on_files(reports.depth_distribution), "large_file_listing": _on_files(lambda files: reports.large_file_listing(files, LARGE)),
     "stacked_report": _on_files(reports.stacked_report),
-    "dim_directory": _tree, "dim_filetype": _on_files(star.dim_filetype), "dim_classification": _on_files(star.dim_classification),
-    "dim_canonical_group": _on_files(star.dim_canonical_group), "fact_files": fact_files, "fact_file_excerpts": _on_files(star.fact_file_excerpts),
+    "dim_directory": _natural(star.dim_directory), "dim_filetype": _natural(star.dim_filetype), "dim_classification": _natural(star.dim_classification),
+    "dim_canonical_group": _natural(star.dim_canonical_group), "directory_children": directory_children, "fact_keys": fact_keys, "fact_files": fact_files, "fact_file_excerpts": _on_files(star.fact_file_excerpts),
     "fact_upsert": fact_upsert, "etl_changed_only": etl_changed_only,
-    "dash_directories": _on_files(dashboards.directories), "dash_filetypes": _on_files(dashboards.file_types),
-    "dash_classification": _on_files(dashboards.classes), "dash_duplicates": _on_files(dashboards.duplicates), "dash_integrity": _on_files(dashboards.integrity),
-    "dash_temporal": _on_files(dashboards.temporal), "dash_previews": _on_files(dashboards.previews), "dash_size_type": _on_files(dashboards.size_by_type),
-    "kpi_overview": _on_files(dashboards.kpis), "l2_to_cosine": l2_similarity, "files_with_embeddings": files_with_embeddings,
+    "dash_directories": _on_star(dashboards.directories), "dash_filetypes": _on_star(dashboards.file_types),
+    "dash_classification": _on_star(dashboards.classes), "dash_duplicates": _on_star(dashboards.duplicates), "dash_integrity": _on_star(dashboards.integrity),
+    "dash_temporal": _on_star(dashboards.temporal), "dash_previews": _on_star(dashboards.previews), "dash_size_type": _on_star(dashboards.size_by_type),
+    "kpi_overview": kpi_overview, "l2_to_cosine": l2_similarity, "files_with_embeddings": files_with_embeddings,
     "knn_topk": knn_topk, "semantic_edges": semantic_edges, "semantic_clusters": semantic_clusters,
     "semantic_clusters_greedy": semantic_clusters_greedy,
 }
 
+_N = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _S = r"coalesce(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '')"
-_FACT = f"""(select id as file_id, {_S.format("file_name")} as name, full_path, {_S.format("file_type")} as file_type, {_S.format("categoria")} as categoria,
-  canonical_id, size_bytes, coalesce(is_pdf, false) as is_pdf, coalesce(ocr_needed, false) as ocr_needed, coalesce(is_canonical, false) as is_canonical,
-  {_S.format("xxhash64")} as xxhash64, {_S.format("sha256")} as sha256, text_chars_extracted, first_seen, last_seen, last_classified, {_S.format("anio")} as anio
+_TYPE, _CLASS = (f"coalesce({_N.format(c)}, '{d}')" for c, d in (("file_type", star.NO_TYPE), ("categoria", star.NO_CLASS)))
+_FACT = f"""(select id as file_id, {_S.format("file_name")} as name, full_path, {_TYPE} as file_type, {_CLASS} as categoria,
+  canonical_id, size_bytes, coalesce(is_pdf, false) as is_pdf, coalesce(ocr_needed, false) as ocr_needed, coalesce(is_canonical, true) as is_canonical,
+  {_N.format("xxhash64")} as xxhash64, {_N.format("sha256")} as sha256, coalesce(text_chars_extracted, 0) as text_chars_extracted, first_seen, last_seen, last_classified, {_S.format("anio")} as anio
   from files where hash_pending = false)"""
 _M = "cast(count(*) as bigint) as files, cast(coalesce(sum(size_bytes), 0) as bigint) as bytes"
 _PUB = f"""(select file_id, 'old_' || name as name, case when file_id % 11 = 0 then 'old' else xxhash64 end as xxhash64, sha256, size_bytes,
@@ -109,9 +150,19 @@ _UNIT = f"(select id, list_transform(v, lambda x: x / sqrt(list_inner_product(v,
 _NEAR = f"""select q.id, n.id as other, list_distance(q.v, n.v) as d from (select f.id, lower(coalesce(f.file_type, '')) as kind, u.v from files f join {_UNIT} u using (id) where f.id % 50 = 0) q
   join (select f.id, lower(f.file_type) as kind, u.v from files f join {_UNIT} u using (id) where f.canonical_id is null) n on n.kind is null or n.kind = q.kind"""
 
+_PREFER = """coalesce(is_pdf, false) and not coalesce(ocr_needed, false) desc, coalesce(size_bytes, 0) desc, coalesce(modification_year, 0) desc, coalesce(depth, 0), f.id"""
+
 SQL = {
-    "duplicate_groups": """select xxhash64, sha256, cast(count(*) as bigint) as total, string_agg(full_path, '; ' order by full_path) as paths,
-        list_extract(string_split(min(full_path), '/'), -1) as first_name from files where sha256 is not null group by xxhash64, sha256 having count(*) > 1""",
+    "semantic_clusters": f"""with recursive r as (select f.id, lower(f.file_type) as kind, u.v from files f join {_UNIT} u using (id) where f.canonical_id is null),
+        e as (select a.id as a, b.id as b from r a join r b on a.id <> b.id and (a.kind = b.kind or a.kind is null or b.kind is null)
+          and 1 - list_distance(a.v, b.v) * list_distance(a.v, b.v) / 2 >= 0.9),
+        reach as (select a as x, a as root from e union select e.b, reach.root from reach join e on e.a = reach.x),
+        g as (select x as id, min(root) as root from reach group by x),
+        h as (select f.id, first_value(f.id) over (partition by g.root order by {_PREFER}) as head from g join files f on f.id = g.id)
+        select id, id = head as is_canonical, case when id <> head then head end as canonical_id from h""",
+    "duplicate_groups": """select xxhash64, sha256, cast(count(*) as bigint) as total, min(full_path) as first_path, list_extract(string_split(min(full_path), '/'), -1) as first_name,
+        case when count(*) <= 100 then string_agg(full_path, '; ' order by full_path) end as paths from files where sha256 is not null group by xxhash64, sha256 having count(*) > 1""",
+    "duplicate_members": """select xxhash64, sha256, full_path from files where sha256 is not null qualify count(*) over (partition by xxhash64, sha256) > 1""",
     "duplicate_summary": """select cast(count(*) as bigint) as groups, cast(coalesce(sum(n), 0) as bigint) as files, max(n) as largest, arg_max(p, row(n, p)) as largest_path
         from (select count(*) as n, min(full_path) as p from files where sha256 is not null group by xxhash64, sha256 having count(*) > 1)""",
     "hash_canonical": """select id, case when sha256 is null then is_canonical else id = low end as is_canonical,
@@ -127,7 +178,7 @@ SQL = {
         cast(count(*) filter (where is_pdf and ocr_needed) as bigint) as pdfs_to_ocr from files""",
     "type_distribution": "select file_type, cast(count(*) as bigint) as n from files group by file_type",
     "depth_distribution": "select depth, cast(count(*) as bigint) as n from files group by depth",
-    "large_file_listing": "select full_path, size_bytes from files where size_bytes >= 104857600",
+    "large_file_listing": f"select full_path, size_bytes from files where size_bytes >= {LARGE}",
     "stacked_report": """select 'totals' as section, 'files' as item, cast(count(*) as bigint) as value from files
         union all select 'totals', 'pdfs', count(*) filter (where is_pdf) from files union all select 'totals', 'pdfs_to_ocr', count(*) filter (where is_pdf and ocr_needed) from files
         union all select 'types', file_type, count(*) from files group by file_type union all select 'depths', cast(depth as varchar), count(*) from files group by depth
@@ -136,30 +187,43 @@ SQL = {
         a[4] as level1, a[5] as level2, a[6] as level3, a[7] as level4, a[8] as level5
         from (select distinct array_to_string(p[1:i], '/') as path, p[1:i] as a from (select p, unnest(range(2, len(p) + 1)) as i from (select string_split(full_path, '/') as p from files)))
         where path not in ('', '.', '/')""",
-    "dim_filetype": f"select distinct {_S.format('file_type')} as file_type from files",
-    "dim_classification": f"select distinct {_S.format('categoria')} as categoria from files",
+    "dim_filetype": f"select distinct {_TYPE} as file_type from files",
+    "dim_classification": f"select distinct {_CLASS} as categoria from files",
+    "directory_children": """with d as (select distinct array_to_string(p[1:i], '/') as path, nullif(array_to_string(p[1:i - 1], '/'), '') as up
+          from (select p, unnest(range(2, len(p) + 1)) as i from (select string_split(full_path, '/') as p from files))),
+        n as (select up, count(*) as c from d where up is not null group by up)
+        select d.path, list_extract(string_split(d.up, '/'), -1) as parent, cast(coalesce(n.c, 0) as bigint) as children from d left join n on n.up = d.path where d.path not in ('', '.', '/')""",
+    "fact_keys": f"""select file_id, full_path as path, nullif(regexp_extract(full_path, '^(.*)/[^/]*$', 1), '') as parent_path, file_type, categoria, canonical_id,
+        is_canonical, text_chars_extracted from {_FACT}""",
     "dim_canonical_group": "select distinct canonical_id from files where canonical_id is not null",
     "fact_files": f"select file_id, name, file_type, categoria, canonical_id, size_bytes, is_pdf, ocr_needed, is_canonical, sha256, anio from {_FACT}",
     "fact_file_excerpts": "select id as file_id, text_excerpt from files where hash_pending = false and text_excerpt <> ''",
     "fact_upsert": f"select n.file_id, coalesce(o.name, n.name) as name, n.xxhash64, n.size_bytes from {_FACT} n left join {_PUB} o using (file_id)",
     "etl_changed_only": f"""select n.file_id as id from {_FACT} n left join {_PUB} o using (file_id)
         where o.file_id is null or n.xxhash64 is distinct from o.xxhash64 or n.sha256 is distinct from o.sha256 or n.last_seen is distinct from o.last_seen""",
-    "dash_directories": f"""select l1 as level1, l2 as level2, l3 as level3, cast(grouping(l1, l2, l3) as integer) as subtotal, {_M}
-        from (select size_bytes, p[4] as l1, p[5] as l2, p[6] as l3 from (select size_bytes, string_split(full_path, '/') as p from {_FACT})) group by rollup(l1, l2, l3)""",
+    "dash_directories": f"""select l1 as level1, l2 as level2, l3 as level3, l4 as level4, l5 as level5, cast(grouping(l1, l2, l3, l4, l5) as integer) as subtotal, {_M}
+        from (select size_bytes, p[4] as l1, p[5] as l2, p[6] as l3, p[7] as l4, p[8] as l5 from (select size_bytes, string_split(full_path, '/') as p from {_FACT}))
+        group by rollup(l1, l2, l3, l4, l5)""",
     "dash_filetypes": f"select file_type, {_M} from {_FACT} group by file_type",
     "dash_classification": f"select categoria, cast(cast(last_classified as date) as varchar) as day, {_M} from {_FACT} group by 1, 2",
     "dash_duplicates": f"""select canonical_id, cast(count(*) as bigint) as copies, cast(count(*) filter (where is_canonical) as bigint) as marked_canonical,
         round(100.0::double * count(*) / (select count(*) from {_FACT}), 6) as percent from {_FACT} where canonical_id is not null group by canonical_id""",
     "dash_integrity": f"""select xxhash64, sha256, cast(count(*) as bigint) as files, cast(coalesce(sum(size_bytes) - max(size_bytes), 0) as bigint) as bytes_to_free
         from {_FACT} where sha256 <> '' group by 1, 2 having count(*) > 1""",
-    "dash_temporal": f"""select strftime(w, '%Y-%m-%d') as week, n as files, cast(n - lag(n) over (order by w) as bigint) as change, cast(sum(n) over (order by w) as bigint) as running
-        from (select date_trunc('week', first_seen) as w, cast(count(*) as bigint) as n from {_FACT} group by 1)""",
-    "dash_previews": """select id as file_id, file_name, string_split(full_path, '/')[4] as level1, file_type, substring(text_excerpt, 1, 200) as preview
-        from files where hash_pending = false and text_excerpt <> ''""",
-    "dash_size_type": f"select file_type, categoria, cast(grouping(file_type, categoria) as integer) as subtotal, {_M} from {_FACT} group by cube(file_type, categoria)",
-    "kpi_overview": f"""select cast(count(*) as bigint) as files, cast(coalesce(sum(size_bytes), 0) as bigint) as bytes, cast(count(*) filter (where ocr_needed) as bigint) as ocr_pending,
-        cast(count(canonical_id) as bigint) as duplicates, cast(count(*) filter (where categoria = '') as bigint) as unclassified,
-        cast(coalesce(sum(text_chars_extracted), 0) as bigint) as characters from {_FACT}""",
+    "dash_temporal": f"""select event, strftime(w, '%Y-%m-%d') as week, n as files, cast(n - lag(n) over (partition by event order by w) as bigint) as change,
+        cast(sum(n) over (partition by event order by w) as bigint) as running from (select event, w, cast(count(*) as bigint) as n from ("""
+    + " union all ".join(f"select '{e}' as event, date_trunc('week', {e}) as w from {_FACT}" for e in ("first_seen", "last_seen", "last_classified"))
+    + ") where w is not null group by event, w)",
+    "dash_previews": f"""select file_id, name as file_name, string_split(full_path, '/')[4] as level1, file_type, substring(x.text_excerpt, 1, 200) as preview
+        from {_FACT} f join (select id, text_excerpt from files) x on x.id = f.file_id where x.text_excerpt <> ''""",
+    "dash_size_type": f"""select file_type, categoria, level1, cast(grouping(file_type, categoria, level1) as integer) as subtotal, {_M}
+        from (select *, string_split(full_path, '/')[4] as level1 from {_FACT}) group by cube(file_type, categoria, level1)""",
+    "kpi_overview": f"""with f as (select * from {_FACT}), t as (select count(*) as files, cast(coalesce(sum(size_bytes), 0) as bigint) as bytes, count(canonical_id) as duplicates,
+          count(*) filter (where categoria in ('', '{star.NO_CLASS}')) as unclassified, cast(coalesce(sum(text_chars_extracted), 0) as bigint) as characters,
+          count(*) filter (where text_chars_extracted > 0) as with_text from f)
+        select 'totals' as section, item, cast(value as bigint) as value from (unpivot t on files, bytes, duplicates, unclassified, characters, with_text into name item value value)
+        union all select 'totals', 'ocr_pending', count(*) from files where ocr_needed and (text_excerpt is null or text_excerpt = '') and canonical_id is null
+        union all select 'types', file_type, count(*) from f group by file_type""",
     "l2_to_cosine": """select round(cast(l_discount as double) * 10, 6) as distance, cast(count(*) as bigint) as n,
         round(greatest(-1.0::double, least(1.0::double, 1.0::double - round(cast(l_discount as double) * 10, 6) * round(cast(l_discount as double) * 10, 6) / 2)), 6) as similarity from lineitem group by 1""",
     "files_with_embeddings": "select f.id, f.file_type, cast(len(e.embedding) as integer) as numbers from files f join file_embeddings e on e.file_id = f.id",

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estatescope import workspace
 from estatescope.functions import cleaning, paths
 from estatescope.operators import merge, pending
 from estatescope.sources.tables import load
 
 
+#: Bytes of a large file in these tables; few of their files reach the pipeline's own limit.
+LARGE = 1 << 20
+
+
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "files")
 
@@ -33,11 +38,11 @@ def directory_levels(spark, sf_dir):
 
 
 def sanitize_text(spark, sf_dir):
-    return _files(spark, sf_dir).select("id", cleaning.sanitize_text(F.col("text_excerpt"), 500).alias("clean"))
+    return load(spark, sf_dir, "documents").select("doc_id", cleaning.sanitize_text(F.col("text")).alias("clean"))
 
 
 def excerpt_cap(spark, sf_dir):
-    return _files(spark, sf_dir).where("text_excerpt is not null").select("id", cleaning.excerpt_cap(F.col("text_excerpt"), 1000).alias("excerpt"))
+    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", cleaning.excerpt_cap(F.col("text")).alias("excerpt"))
 
 
 def safe_values(spark, sf_dir):
@@ -49,11 +54,12 @@ def safe_values(spark, sf_dir):
 
 
 def csv_flag_parse(spark, sf_dir):
-    """Flags of a CSV listing (path, yes/no text) put in by path."""
-    listing = _files(spark, sf_dir).where("id % 3 = 0").select(
-        "full_path", F.when(F.col("id") % 2 == 0, " TRUE ").when(F.col("id") % 5 == 0, "yes").otherwise("no").alias("flag")
-    )
-    flags = listing.select("full_path", cleaning.truthy_flag(F.col("flag")).alias("ocr_needed"))
+    """Flags of a CSV listing (path, yes/no text) put in by path; the listing of all files is written and read as CSV."""
+    flag = F.when(F.col("id") % 3 == 0, " TRUE ").when(F.col("id") % 5 == 0, "yes").when(F.col("id") % 7 == 0, "1").otherwise("no")
+    path = workspace.new_path(spark, "listing")
+    _files(spark, sf_dir).where("full_path is not null").select("full_path", flag.alias("flag")).write.option("header", True).option("escape", '"').csv(path)
+    listing = spark.read.option("header", True).option("escape", '"').schema("full_path string, flag string").csv(path)
+    flags = listing.groupBy("full_path").agg(F.max(cleaning.truthy_flag(F.col("flag"))).alias("ocr_needed"))
     return merge.apply_flags_by_path(_files(spark, sf_dir).select("id", "full_path", "ocr_needed"), flags).select("id", "ocr_needed")
 
 
@@ -72,6 +78,10 @@ def _simple(fn):
     return run
 
 
+def large_files(files: DataFrame) -> DataFrame:
+    return pending.large_files(files, LARGE)
+
+
 def pending_images(spark, sf_dir):
     return pending.pending_images(_files(spark, sf_dir), load(spark, sf_dir, "moondream_task_map")).select("id")
 
@@ -137,7 +147,7 @@ def insert_if_absent(spark, sf_dir):
 QUERIES = {
     "scan_project": scan_project, "path_depth": path_depth, "directory_levels": directory_levels, "sanitize_text": sanitize_text,
     "excerpt_cap": excerpt_cap, "safe_values": safe_values, "csv_flag_parse": csv_flag_parse, "classification_prompts": classification_prompts,
-    "pending_pdf": _simple(pending.pending_pdf), "pending_hash": _simple(pending.pending_hash), "large_files": _simple(pending.large_files),
+    "pending_pdf": _simple(pending.pending_pdf), "pending_hash": _simple(pending.pending_hash), "large_files": _simple(large_files),
     "pending_text": _simple(pending.pending_text), "pending_ocr": _simple(pending.pending_ocr), "pending_classify": _simple(pending.pending_classify),
     "image_candidates": _simple(pending.image_candidates), "undecided_pictures": _simple(pending.undecided_pictures), "pending_images": pending_images, "pending_images_to_send": pending_images_to_send,
     "next_batch": next_batch, "pending_counts": pending_counts, "distinct_on_hash": distinct_on_hash, "chunk_numbers": chunk_numbers,
@@ -169,17 +179,17 @@ SQL = {
         cast(len(string_split(full_path, '/')) as integer) as components from files""",
     "path_depth": "select id, cast(length(full_path) - length(replace(full_path, '/', '')) - 1 as integer) as depth from files",
     "directory_levels": "select id, p[4] as level1, p[5] as level2, p[6] as level3, p[7] as level4, p[8] as level5 from (select id, string_split(full_path, '/') as p from files)",
-    "sanitize_text": f"select id, {_capped('text_excerpt', 500)} as clean from files",
-    "excerpt_cap": "select id, substring(text_excerpt, 1, 1000) as excerpt from files where text_excerpt is not null",
+    "sanitize_text": f"select doc_id, {_capped('text', 3000)} as clean from documents",
+    "excerpt_cap": "select doc_id, substring(text, 1, 8000) as excerpt from documents where text is not null",
     "safe_values": f"""select id, coalesce({_STRIP.format("proyecto")}, '') as project, case when regexp_full_match(trim(anio), '[+-]?\\d+') then try_cast(anio as integer) end as year,
         coalesce(ocr_needed, false) as ocr, case when anio is null then false else lower(anio) in ('t', 'true', '1') end as flag from files""",
-    "csv_flag_parse": """select id, case when id % 3 = 0 then (id % 2 = 0 or id % 5 = 0) else ocr_needed end as ocr_needed from files""",
+    "csv_flag_parse": "select id, id % 3 = 0 or id % 5 = 0 or id % 7 = 0 as ocr_needed from files",
     "classification_prompts": f"""select id, 'Classify the document and answer with JSON keys categoria, anio, proyecto.' || chr(10) || 'path: ' || {_capped("full_path", 500)}
         || chr(10) || 'type: ' || coalesce(file_type, '') || chr(10) || 'year: ' || coalesce(cast(creation_year as varchar), '') || chr(10) || 'text: '
         || {_capped("text_excerpt", 500)} as prompt from files where {_CLASS}""",
     "pending_pdf": "select id from files where is_pdf and ocr_needed is null",
     "pending_hash": f"select id from files where {_HASH}",
-    "large_files": "select id from files where size_bytes >= 104857600",
+    "large_files": f"select id from files where size_bytes >= {LARGE}",
     "pending_text": "select id from files where text_excerpt is null",
     "pending_ocr": f"select id from files where {_OCR}",
     "pending_classify": f"select id from files where {_CLASS}",

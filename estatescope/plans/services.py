@@ -40,15 +40,49 @@ def reconcile_results(spark, sf_dir):
     return messages.reconcile_results(load(spark, sf_dir, "result_messages"), load(spark, sf_dir, "moondream_task_map"), "MoondreamWorker").select("delivery_id", "file_id", "done")
 
 
+def _tasks(spark, sf_dir, worker):
+    """Tasks of a worker: its map for pictures, the messages sent for OCR."""
+    if worker == "MoondreamWorker":
+        return load(spark, sf_dir, "moondream_task_map").select("correlation_id", "file_id")
+    sent = load(spark, sf_dir, "task_messages").where(messages.normal_model(F.col("target_model")) == "ocr")
+    return sent.select("correlation_id", F.get_json_object("payload", "$.file_id").try_cast("long").alias("file_id")).where("file_id is not null")
+
+
+def _after_results(spark, sf_dir, each):
+    out = []
+    for worker in ("MoondreamWorker", "OCRWorker"):
+        tasks = _tasks(spark, sf_dir, worker)
+        answers = messages.reconcile_results(load(spark, sf_dir, "result_messages"), tasks, worker)
+        out.append(each(tasks, messages.first_answers(answers, "received_at", "delivery_id")).withColumn("worker", F.lit(worker)))
+    return out[0].unionByName(out[1])
+
+
+def reconcile_apply(spark, sf_dir):
+    """Texts the answers of both workers put into files."""
+    return _after_results(spark, sf_dir, lambda tasks, firsts: messages.answered_files(firsts))
+
+
+def open_tasks(spark, sf_dir):
+    """Tasks of both workers that no answer has closed."""
+    return _after_results(spark, sf_dir, lambda tasks, firsts: messages.open_tasks(tasks, firsts))
+
+
 def retry_state(spark, sf_dir):
     return messages.retry_state(load(spark, sf_dir, "result_messages"))
 
 
 def strip_json_fence(spark, sf_dir):
-    """Fenced JSON replies unwrapped and read."""
-    r = load(spark, sf_dir, "files").select("id", F.concat(F.lit("\n```json\n"), F.to_json(F.struct("categoria", "anio", "proyecto")), F.lit("\n```  \n")).alias("reply"))
-    c = cleaning.classification(F.col("reply"))
-    return r.select("id", c["categoria"].alias("categoria"), c["anio"].alias("anio"), c["proyecto"].alias("proyecto"))
+    """Replies read: fenced with and without a language, bare, fenced twice, cut off, with text around, and none."""
+    body = F.to_json(F.struct("categoria", "anio", "proyecto"))
+    shapes = (
+        F.concat(F.lit("\n```json\n"), body, F.lit("\n```  \n")), F.concat(F.lit("```\n"), body, F.lit("\n```")), F.concat(F.lit("  "), body, F.lit("\n")),
+        F.concat(F.lit("```json\n```json\n"), body, F.lit("\n```\n```")), F.concat(F.lit("```json\n"), F.expr("substring(to_json(struct(id, 'x')), 1, 5)")),
+        F.concat(F.lit("Here it is: "), body), F.lit("no JSON"), F.lit(None).cast("string"),
+    )
+    shape = F.pmod(F.col("id"), F.lit(len(shapes)))
+    reply = F.coalesce(*[F.when(shape == i, r) for i, r in enumerate(shapes)])
+    c = cleaning.classification(reply)
+    return load(spark, sf_dir, "files").select("id", c["categoria"].alias("categoria"), c["anio"].alias("anio"), c["proyecto"].alias("proyecto"))
 
 
 _STATUS = """case event_type when 'click' then 'finished' when 'view' then 'finished' when 'purchase' then 'finished'
@@ -74,20 +108,18 @@ def status_rollup(spark, sf_dir):
 
 
 def run_status_tree(spark, sf_dir):
-    """Runs with their phases and scripts as one document each."""
+    """Every script of every phase of every run, read back from the documents of the runs."""
     scripts = _scripts(spark, sf_dir)
     phases = _phases(scripts)
     tree = status.run_status_tree(status.status_rollup(phases, "run_id"), phases, scripts)
-    first = F.get("phases", F.lit(0))
-    return tree.select(
-        "run_id", "status", F.size("phases").alias("phases"), first["phase_id"].alias("first_phase"), first["phase_status"].alias("first_phase_status"),
-        F.array_join(F.transform(first["scripts"], lambda s: s["script_name"]), ",").alias("first_scripts"),
-    )
+    each = tree.select("run_id", "status", F.size("phases").alias("phases"), F.posexplode("phases").alias("place", "p"))
+    names = F.array_join(F.transform("p.scripts", lambda s: F.concat_ws("=", s["script_name"], s["script_status"])), ",")
+    return each.select("run_id", "status", "phases", "place", "p.phase_id", "p.phase_number", "p.phase_status", names.alias("scripts"))
 
 
 QUERIES = {
     "route_tasks": route_tasks, "build_tasks": build_tasks, "validate_results": validate_results, "extract_result_text": extract_result_text,
-    "reconcile_results": reconcile_results, "retry_state": retry_state, "strip_json_fence": strip_json_fence, "status_rollup": status_rollup,
+    "reconcile_results": reconcile_results, "reconcile_apply": reconcile_apply, "open_tasks": open_tasks, "retry_state": retry_state, "strip_json_fence": strip_json_fence, "status_rollup": status_rollup,
     "run_status_tree": run_status_tree,
 }
 
@@ -101,7 +133,19 @@ _ROLL = """case when bool_or(status = 'running') then 'running' when bool_or(sta
     when bool_and(status = 'finished') then 'finished' else 'failed' end"""
 _PHASES = f"(select phase_id, phase_id // 24 as run_id, cast(phase_id % 24 as integer) as phase_number, {_ROLL} as status from ({_SCRIPTS}) group by phase_id)"
 
+_TASKS = f"""(select 'MoondreamWorker' as worker, correlation_id, file_id, {_key("correlation_id")} as k from moondream_task_map union all
+        select * from (select 'OCRWorker', correlation_id, try_cast(json_extract_string(try_cast(payload as json), '$.file_id') as bigint) as file_id, {_key("correlation_id")}
+          from task_messages where lower(target_model) = 'ocr') where file_id is not null)"""
+_FIRSTS = f"""(select worker, k, file_id, text, received_at, delivery_id from (
+          select t.worker, t.k, t.file_id, {_EXTRACT} as text, received_at, delivery_id, row_number() over (partition by t.worker, t.k order by received_at nulls last, delivery_id nulls last) as rn
+          from (select *, {_key("correlation_id")} as k from result_messages where {_PROBLEM} is null) r
+          join (select worker, k, min(file_id) as file_id from {_TASKS} where k is not null group by 1, 2) t on t.k = r.k and t.worker = r.model
+          where {_EXTRACT} is not null) where rn = 1)"""
+
 SQL = {
+    "reconcile_apply": f"""select worker, file_id, text, cast(length(text) as integer) as chars from (select *, row_number() over (partition by worker, file_id
+        order by received_at is null desc, received_at desc, delivery_id desc, k desc) as rn from {_FIRSTS}) where rn = 1""",
+    "open_tasks": f"select worker, correlation_id, file_id from {_TASKS} t where not exists (select 1 from {_FIRSTS} f where f.worker = t.worker and f.k = t.k)",
     "route_tasks": """select target_model, case lower(target_model) when 'ocr' then 'cola_modelo_ocr' when 'moondream' then 'cola_modelo_moondream'
         when 'embeddings' then 'cola_modelo_embeddings' end as queue, cast(count(*) as bigint) as n from task_messages group by 1, 2""",
     "build_tasks": """select id as file_id, 'cola_modelo_ocr' as queue, 'c' || cast(id as varchar) as correlation_id, full_path as file_path from files
@@ -114,9 +158,10 @@ SQL = {
     "retry_state": f"""select k as correlation_key, cast(count(*) as bigint) as attempts, cast(count(*) filter (where status = 'error') as bigint) as errors,
         not coalesce(bool_or(status = 'success'), false) and bool_and(coalesce(error.retryable, true)) and count(*) filter (where status = 'error') < 3 as retry
         from (select *, {_key("correlation_id")} as k from result_messages) where k is not null group by k""",
-    "strip_json_fence": """select id, coalesce(categoria, 'Desconocido') as categoria, coalesce(anio, 'Desconocido') as anio, coalesce(proyecto, 'Desconocido') as proyecto from files""",
+    "strip_json_fence": "select id, " + ", ".join(f"case when id % 8 in (0, 1, 2) then coalesce({c}, 'Desconocido') else 'Desconocido' end as {c}" for c in ("categoria", "anio", "proyecto")) + " from files",
     "status_rollup": f"select run_id, {_ROLL} as status from {_PHASES} group by run_id",
-    "run_status_tree": f"""with p as (select * from {_PHASES}), f as (select run_id, arg_min(phase_id, phase_number) as fp, cast(count(*) as integer) as n, {_ROLL} as status from p group by run_id)
-        select f.run_id, f.status, f.n as phases, f.fp as first_phase, (select status from p where p.phase_id = f.fp) as first_phase_status,
-          (select string_agg(script_name, ',' order by script_id) from ({_SCRIPTS}) s where s.phase_id = f.fp) as first_scripts from f""",
+    "run_status_tree": f"""with p as (select * from {_PHASES}), r as (select run_id, cast(count(*) as integer) as n, {_ROLL} as status from p group by run_id),
+          s as (select phase_id, string_agg(script_name || '=' || status, ',' order by script_id) as scripts from ({_SCRIPTS}) group by phase_id)
+        select r.run_id, r.status, r.n as phases, cast(row_number() over (partition by r.run_id order by p.phase_number, p.phase_id) - 1 as integer) as place,
+          p.phase_id, p.phase_number, p.status as phase_status, s.scripts from r join p using (run_id) join s using (phase_id)""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from estatescope.streaming.queues import run_available
 class Reconciler:
     """Turns result messages into text updates.
 
-    updates: Parquet folder of (correlation_id, file_id, text, chars), one folder per
+    updates: Parquet folder of (correlation_key, file_id, text, at), one folder per
     batch number, so that a batch run again overwrites its own rows; rejects: folder
-    of dead letters; tasks: the task map.
+    of dead letters; tasks: the task map; after: called with the number of every batch worked through and how many
+    answers to known tasks it held.
     """
 
     spark: SparkSession
@@ -26,17 +28,23 @@ class Reconciler:
     worker: str
     updates: str
     rejects: str
+    after: Callable[[int, int], None] | None = None
 
     def _batch(self, batch: DataFrame, number: int) -> None:
-        parsed = messages.validate_results(messages.parse_results(batch)).persist()
+        # the place of a message within its batch
+        parsed = messages.validate_results(messages.parse_results(batch)).withColumn("place", F.monotonically_increasing_id()).persist()
         try:
-            answers = messages.reconcile_results(parsed.drop("problem"), self.tasks, self.worker).where("done")
-            first = answers.groupBy("correlation_id", "file_id").agg(F.min("text").alias("text"))
-            first.withColumn("chars", F.length("text")).write.mode("overwrite").parquet(f"{self.updates}/batch={number}")
+            answers = messages.reconcile_results(parsed.drop("problem"), self.tasks, self.worker).persist()
+            firsts = messages.first_answers(answers, "place")
+            firsts.withColumn("at", F.col("at.p01")).write.mode("overwrite").parquet(f"{self.updates}/batch={number}")
             bad = parsed.where("problem is not null").select("raw", "problem")
             bad.write.mode("overwrite").json(f"{self.rejects}/batch={number}")
+            handled = answers.count()
+            answers.unpersist()
         finally:
             parsed.unpersist()
+        if self.after is not None:
+            self.after(number, handled)
 
     def run(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Work through the messages available; redelivered ones change nothing."""
@@ -44,11 +52,10 @@ class Reconciler:
 
     def apply(self, files: DataFrame, now) -> tuple[DataFrame, DataFrame]:
         """(files with the texts put in, tasks still open)."""
-        got = self.spark.read.parquet(self.updates)
-        first = got.groupBy("file_id").agg(F.min(F.struct("batch", "correlation_id", "text", "chars")).alias("u"))
-        texts = first.select(F.col("file_id").alias("id"), F.col("u.text").alias("text_excerpt"), F.col("u.chars").alias("text_chars_extracted"))
-        out = merge.apply_delta(files, texts, last_seen=now)
-        return out, self.tasks.join(got.select("correlation_id").distinct(), "correlation_id", "left_anti")
+        got = self.spark.read.parquet(self.updates).withColumn("done", F.lit(True))
+        firsts = messages.first_answers(got, "batch", "at")
+        texts = messages.answered_files(firsts).select(F.col("file_id").alias("id"), F.col("text").alias("text_excerpt"), F.col("chars").alias("text_chars_extracted"))
+        return merge.apply_delta(files, texts, last_seen=now), messages.open_tasks(self.tasks, firsts)
 
 
 def deduplicated(stream: DataFrame, delay: str = "1 day", key: str = "correlation_id", time: str = "received_at") -> DataFrame:

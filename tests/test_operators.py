@@ -185,3 +185,68 @@ def test_tasks_and_routing(spark):
     assert made.queue == "cola_modelo_ocr" and made.payload == {"file_path": "/a", "file_id": "1", "prompt": "p"}
     df = spark.createDataFrame([("Moondream",), ("what",), (None,)], "target_model string")
     assert [r.queue for r in messages.route_tasks(df).collect()] == ["cola_modelo_moondream", None, None]
+
+
+INVENTORY = (
+    "id long, full_path string, file_name string, file_type string, size_bytes long, creation_year int, modification_year int, depth int, is_pdf boolean, "
+    "ocr_needed boolean, hash_pending boolean, xxhash64 string, sha256 string, first_seen timestamp_ntz, last_seen timestamp_ntz, text_excerpt string, "
+    "text_chars_extracted int, is_canonical boolean, canonical_id long, categoria string, last_classified timestamp_ntz, proyecto string, anio string"
+)
+
+
+def inventory(spark, rows):
+    """Rows of the inventory from dictionaries; what is not given is null."""
+    names = [c.split()[0] for c in INVENTORY.split(", ")]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], INVENTORY)
+
+
+def test_star_is_published_and_replaced(spark, tmp_path):
+    rows = [
+        {"id": 1, "full_path": "/data/x/p/a.pdf", "file_type": ".pdf", "size_bytes": 5, "hash_pending": False, "text_excerpt": "t", "text_chars_extracted": 1},
+        {"id": 2, "full_path": "/data/x/p/b.txt", "hash_pending": False, "canonical_id": 1, "is_canonical": False, "categoria": " Acta "},
+        {"id": 3, "full_path": "/data/y/c.txt", "hash_pending": True},
+    ]
+    folder = "file://" + str(tmp_path / "star")
+    star.publish(inventory(spark, [*rows, {"id": 4, "full_path": "/old", "hash_pending": False}]), folder)
+    s = star.publish(inventory(spark, rows), folder)
+    facts = {r.file_id: r for r in s.facts.collect()}
+    assert set(facts) == {1, 2} and facts[1].is_canonical and facts[1].sha256 is None and facts[2].text_chars_extracted == 0
+    paths = {r.directory_id: r for r in s.directories.collect()}
+    assert {r.path for r in paths.values()} == {"/data", "/data/x", "/data/x/p", "/data/x/p/a.pdf", "/data/x/p/b.txt"}
+    at = paths[facts[1].directory_id]
+    names = []
+    while at is not None:
+        names.append(at.name)
+        at = paths.get(at.parent_id)
+    assert names == ["a.pdf", "p", "x", "data"]
+    kinds, classes = {r.filetype_id: r.file_type for r in s.file_types.collect()}, {r.classification_id: r.categoria for r in s.classes.collect()}
+    assert kinds[facts[1].filetype_id] == ".pdf" and kinds[facts[2].filetype_id] == "tipo desconocido"
+    assert classes[facts[1].classification_id] == "sin clasificación" and classes[facts[2].classification_id] == "Acta"
+    assert {r.group_id: r.canonical_id for r in s.groups.collect()}[facts[2].group_id] == 1 and facts[1].group_id is None
+    assert [r.file_id for r in s.excerpts.collect()] == [1]
+
+
+def test_paths_of_large_groups_are_rows(spark):
+    df = spark.createDataFrame([(f"/a/{i:03d}", "x", "s") for i in range(150)] + [("/b/1", None, "t"), ("/b/0", None, "t"), ("/c", "y", "u"), (None, "z", "v"), (None, "z", "v")], "full_path string, xxhash64 string, sha256 string")
+    got = {r.sha256: (r.total, r.first_path, r.paths) for r in dedup.duplicate_groups(df).collect()}
+    assert got == {"s": (150, "/a/000", None), "t": (2, "/b/0", "/b/0; /b/1"), "v": (2, None, "")}
+    assert dedup.duplicate_members(df).groupBy("sha256").count().collect().__len__() == 3 and dedup.duplicate_members(df).count() == 154
+
+
+def test_nearest_over_several_query_blocks(spark, monkeypatch):
+    import numpy as np
+
+    x = np.random.default_rng(2).normal(size=(300, 8))
+    kinds = [None if i % 20 == 0 else (".a", ".b")[i % 2] for i in range(300)]
+    files = spark.createDataFrame([(i, kinds[i], None if i % 7 else 1) for i in range(300)], "id long, file_type string, canonical_id long")
+    vectors = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(300)], "file_id long, embedding array<double>")
+    monkeypatch.setattr(semantic, "QUERY_ROWS", 40)
+    monkeypatch.setattr(semantic, "STEP_ROWS", 16)
+    got = {}
+    for r in semantic.knn_topk(files, vectors, 5, 3, 8).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.other
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 300, 3):
+        may = [j for j in range(300) if j % 7 and (kinds[j] is None or kinds[j] == (kinds[i] or ""))]
+        best = sorted(may, key=lambda j: (round(float(np.sqrt(max(0.0, 2 - 2 * u[i] @ u[j]))), 9), j))[:5]
+        assert [got[i][k + 1] for k in range(len(best))] == best

@@ -102,6 +102,43 @@ def test_stream_reconcile(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "up")).count() == 1
 
 
+def test_answers_close_their_task_however_the_id_is_written(spark, tmp_path):
+    queue = tmp_path / "q"
+    queue.mkdir()
+    u = "550e8400-e29b-41d4-a716-446655440000"
+    msg = lambda c, text: json.dumps({"message_id": "m", "correlation_id": c, "model": "OCRWorker", "status": "success", "result": text})
+    (queue / "1.json").write_text("\n".join([msg(u.upper(), "zwei"), msg(u, "alpha"), msg("{" + u + "}", "beta")]))
+    tasks = spark.createDataFrame([(1, u), (2, "other")], "file_id long, correlation_id string")
+    r = reconcile.Reconciler(spark, tasks, "OCRWorker", str(tmp_path / "up"), str(tmp_path / "bad"))
+    r.run(queues.read_queue(spark, str(queue)), str(tmp_path / "cp")).awaitTermination(120)
+    files = spark.createDataFrame([(i, None, None, None) for i in (1, 2)], "id long, text_excerpt string, text_chars_extracted int, last_seen timestamp_ntz")
+    out, still = r.apply(files, F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    # the first answer counts, not the least
+    assert {x.id: x.text_excerpt for x in out.collect()} == {1: "zwei", 2: None}
+    assert [x.correlation_id for x in still.collect()] == ["other"]
+
+
+def test_results_send_the_next_batch(spark, tmp_path):
+    from estatescope.schemas import TASK_MAP
+
+    waiting = spark.createDataFrame([(i, f"/f{i}") for i in range(10)], "id long, full_path string")
+    auto = dispatch.AutoBatch(
+        lambda known: waiting.join(known.select(F.col("file_id").alias("id")), "id", "left_anti"), str(tmp_path / "tasks"), "moondream", "t", str(tmp_path),
+        TASK_MAP, F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"), 4,
+    )
+    assert auto.send(spark, -1) == 4
+    queue = tmp_path / "q"
+    queue.mkdir()
+    for step, (answered, sent) in enumerate(((3, 4), (1, 8), (4, 10))):
+        known = [r.correlation_id for r in auto.task_map(spark).orderBy("file_id").collect()]
+        at = sum(x for x, _ in ((3, 4), (1, 8), (4, 10))[:step])
+        (queue / f"{step}.json").write_text("\n".join(json.dumps({"message_id": "m", "correlation_id": c, "model": "MoondreamWorker", "status": "success", "result": "t"}) for c in known[at : at + answered]))
+        r = reconcile.Reconciler(spark, auto.task_map(spark), "MoondreamWorker", str(tmp_path / "up"), str(tmp_path / "bad"), auto.after_batch(spark))
+        r.run(queues.read_queue(spark, str(queue)), str(tmp_path / "cp")).awaitTermination(120)
+        assert auto.task_map(spark).count() == sent
+    assert spark.read.text(str(tmp_path / "cola_modelo_moondream")).count() == 10
+
+
 def test_dispatch(spark, tmp_path):
     waiting = spark.createDataFrame([(i, f"/f{i}") for i in range(10)], "id long, full_path string")
     empty = spark.createDataFrame([], "file_id long, correlation_id string, status string, attempts int, last_error string, created_at timestamp_ntz, updated_at timestamp_ntz")
