@@ -80,6 +80,13 @@ def decode(raw: bytes, codec: str) -> str | None:
 _NONE = "\uffff"
 
 
+@lru_cache(maxsize=1 << 18)
+def _step(text: str, written: str, read: str) -> str:
+    raw = encode(text, written)
+    out = None if raw is None else decode(raw, read)
+    return _NONE if out is None else out
+
+
 class Chain(dict):
     """Characters garbled by a chain of (written, read) steps; what cannot pass it becomes U+FFFF."""
 
@@ -90,12 +97,10 @@ class Chain(dict):
         self.rank = -len(steps) - sum(x not in usual for x, usual in zip(steps[0], USUAL))
 
     def __missing__(self, code: int) -> str:
-        text: str | None = chr(code)
+        text = chr(code)
         for written, read in self.steps:
-            raw = encode(text, written)
-            text = None if raw is None else decode(raw, read)
-            if text is None:
-                text = _NONE
+            text = _step(text, written, read)
+            if text == _NONE:
                 break
         self[code] = text
         return text
@@ -182,16 +187,23 @@ def _token_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _forms(pairs: Bitmap, tokens: Bitmap):
     """Arrow map: the garbled forms of every word that the corpus may hold; those of UTF-8 only of runs."""
     able: dict[str, frozenset[int]] = {}
+    known: dict[str, bool] = {}
+
+    def met(piece: str) -> bool:
+        if piece not in known:
+            known[piece] = bool(pairs.contains(np.array([word_hash(piece)], np.uint64))[0])
+        return known[piece]
 
     def possible(text: str) -> list[Chain]:
         every, left = chains(), None
         for c in {c for c in text if not c.isascii()}:
             if c not in able:
                 forms = [chain[ord(c)] for chain in every]
-                need = [_pairs(f) for f in forms]
-                flat = np.array([word_hash(p) for ps in need for p in ps], np.uint64)
-                there = iter(pairs.contains(flat)) if len(flat) else iter(())
-                able[c] = frozenset(k for k, (f, ps) in enumerate(zip(forms, need)) if all([next(there) for _ in ps]) and f != _NONE)
+                # its characters first: most forms have one that is nowhere
+                able[c] = frozenset(
+                    k for k, f in enumerate(forms)
+                    if f != _NONE and all(x.isascii() or met(x) for x in f) and all(map(met, _pairs(f)))
+                )
             left = able[c] if left is None else left & able[c]
         return [every[k] for k in sorted(left or ())]
 

@@ -53,40 +53,34 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def usable(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
-    """(file_id, v) of the rows with exactly ``dims`` finite numbers, not all zero."""
+    """(file_id, v, digest) of the rows with exactly ``dims`` finite numbers, not all zero; digest: 16 bytes that equal
+    vectors share."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("v")
-            flat = np.asarray(column.flatten().fill_null(np.nan)).reshape(-1, dims)
+            flat = np.asarray(batch.column("v").flatten().fill_null(np.nan)).reshape(-1, dims)
             good = np.isfinite(flat).all(axis=1) & (flat != 0).any(axis=1)
-            yield batch.filter(pa.array(good))
+            digests = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in flat[good] + np.float32(0)]
+            rows = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(digests, pa.binary())], ["file_id", "v", "digest"])
 
     sized = df.select(F.col(key).cast("long").alias("file_id"), F.col(vector).cast("array<float>").alias("v"))
     sized = sized.where(F.col("file_id").isNotNull() & (F.size("v") == dims))
-    return sized.mapInArrow(check, "file_id long, v array<float>")
+    return sized.mapInArrow(check, "file_id long, v array<float>, digest binary")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(file_id, digest): 16 bytes that equal vectors share."""
-    for batch in batches:
-        rows = np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1) + np.float32(0)
-        digests = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in rows]
-        yield pa.RecordBatch.from_arrays([batch.column("file_id"), pa.array(digests, pa.binary())], ["file_id", "digest"])
-
-
-def _single(rows: DataFrame, dims: int) -> DataFrame:
+def _single(rows: DataFrame) -> DataFrame:
     """Rows with one vector, the least, of every id."""
     several = workspace.materialize(rows.groupBy("file_id").agg(F.count("*").alias("n")).where("n > 1").select("file_id"), "several")
     if several.isEmpty():
         return rows
-    least = rows.join(several, "file_id", "left_semi").groupBy("file_id").agg(F.min("v").alias("v"))
+    least = rows.join(several, "file_id", "left_semi").groupBy("file_id").agg(F.min(F.struct("v", "digest")).alias("r")).select("file_id", "r.*")
     return rows.join(several, "file_id", "left_anti").unionByName(workspace.materialize(least, "least"))
 
 
 def _copies(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
     """Members (file_id, rep) and first ids (rep, ids) of the classes of two or more files of one vector; number of files."""
-    own = workspace.materialize(rows.mapInArrow(_digest, "file_id long, digest binary"), "digests")
+    own = workspace.materialize(rows.select("file_id", "digest"), "digests")
     classes = own.groupBy("digest").agg(F.min("file_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep")
     members = workspace.materialize(own.join(classes, "digest").select("file_id", "rep"), "copies")
     least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
@@ -261,7 +255,8 @@ def nearest(
     usable vector the result is empty. Beyond 0.75 x ``shard_rows`` x ``sample_rows`` / 8
     vectors, ``sample_rows`` must grow with the collection.
     """
-    rows = _single(usable(df, key, vector, dims), dims)
+    # numbers hardly compress
+    rows = _single(workspace.materialize(usable(df, key, vector, dims), "vectors", "lz4"))
     members, firsts, total = _copies(rows, k)
     copied = not members.isEmpty()
     if copied:
@@ -279,7 +274,7 @@ def nearest(
         home[r["cell"]], asked[r["cell"]] = r["home"], r["asked"]
     splits = np.maximum(1, -(-home // shard_rows))
     slices = np.maximum(1, -(-asked // (ASKERS * shard_rows)))
-    routed = rows.mapInArrow(_route(centroids, splits, slices, probes, dims), "task int, file_id long, member boolean, asks boolean, v array<float>")
+    routed = rows.select("file_id", "v").mapInArrow(_route(centroids, splits, slices, probes, dims), "task int, file_id long, member boolean, asks boolean, v array<float>")
     # the number of a task is the number of its partition, so no two share one
     found = routed.repartitionById(int((splits * slices).sum()), F.col("task")).mapInArrow(_by_task(_search(k, dims)), "file_id long, other long, similarity double")
     # at most k answers of each of the few shards asked; of a neighbour found twice the best counts
