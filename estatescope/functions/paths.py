@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 import unicodedata
 from collections.abc import Mapping
 
@@ -74,13 +75,15 @@ def normalize_path(path: Column, base: str | None = None, env: Mapping[str, str]
     Null and empty give ''.
     """
     known = dict(os.environ if env is None else env)
+    names = "|".join(map(re.escape, sorted(filter(None, known), key=len, reverse=True)))
+    variable = re.compile(rf"\$\{{({names})\}}|\$({names})") if names else None
 
     def one(value: str | None) -> str:
         if not value:
             return ""
         value = value.strip()
-        for key in sorted(known, key=len, reverse=True):
-            value = value.replace("${" + key + "}", known[key]).replace("$" + key, known[key])
+        if variable and "$" in value:
+            value = variable.sub(lambda m: known[m.group(1) or m.group(2)], value)
         if value.startswith("~") and known.get("HOME") and value[1:2] in ("", "/"):
             value = known["HOME"] + value[1:]
         value = posixpath.normpath(value)

@@ -7,15 +7,19 @@ every change of status is recorded and rolled up to phase and run.
 
 from __future__ import annotations
 
+import json
 import posixpath
 import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import TextIO
 
 from pyspark.sql import SparkSession
 
+from estatescope import workspace
+
 Stage = Callable[[dict], None]
 TERMINAL = ("finished", "error", "cancelled", "failed")
 
@@ -62,6 +66,31 @@ class Entry:
             "error_message": self.error_message, "logs": "\n".join(self.logs), "children": [c.as_dict() for c in self.children],
         }
 
+    @staticmethod
+    def of(d: dict) -> Entry:
+        """Entry of a nested view."""
+        time_of = lambda t: datetime.fromisoformat(t) if t else None
+        return Entry(
+            d["name"], d["status"], time_of(d["started_at"]), time_of(d["finished_at"]), d["error_message"],
+            d["logs"].split("\n") if d["logs"] else [], [Entry.of(c) for c in d["children"]],
+        )
+
+
+class Tee:
+    """A text stream that writes to several at once, for ``contextlib.redirect_stdout``."""
+
+    def __init__(self, *streams: TextIO):
+        self.streams = streams
+
+    def write(self, text: str) -> int:
+        for s in self.streams:
+            s.write(text)
+        return len(text)
+
+    def flush(self) -> None:
+        for s in self.streams:
+            s.flush()
+
 
 @dataclass
 class Answer:
@@ -75,27 +104,38 @@ class Pipeline:
     """Control of runs.
 
     phases: number to (name, stages by name); attempts and delay: tries of a stage and
-    seconds between them
+    seconds between them; store: folder where every change of a run's status is kept, one file per run, and read
+    from at the start. A run found under way was left by a driver that ended: the next start cancels it.
     """
 
-    def __init__(self, spark: SparkSession, phases: dict[int, tuple[str, dict[str, Stage]]], attempts: int = 5, delay: float = 60.0):
-        self.spark, self.phases, self.attempts, self.delay = spark, phases, attempts, delay
-        self.runs: dict[int, Entry] = {}
+    def __init__(
+        self, spark: SparkSession, phases: dict[int, tuple[str, dict[str, Stage]]], attempts: int = 5, delay: float = 60.0, store: str | None = None
+    ):
+        self.spark, self.phases, self.attempts, self.delay, self.store = spark, phases, attempts, delay, store
+        kept = workspace.read_texts(spark, store, ".json") if store else {}
+        self.runs: dict[int, Entry] = {int(n.split(".")[0]): Entry.of(json.loads(t)) for n, t in sorted(kept.items())}
+        self._lock = threading.Lock()
         self.state: dict = {"spark": spark, "base": "/data"}
         self._stop: set[int] = set()
         self._threads: dict[int, threading.Thread] = {}
 
+    def _save(self, run_id: int) -> None:
+        if self.store:
+            with self._lock:
+                workspace.write_text(self.spark, f"{self.store}/{run_id:09d}.json", json.dumps(self.runs[run_id].as_dict()))
+
     def _begin(self, numbers: list[int]) -> Answer:
         stale = [i for i, r in self.runs.items() if r.status == "running"]
         if stale:
             for i in stale:
                 self.stop(i)
             return Answer(400, {"error": "a run was under way and has been cancelled"})
-        run_id = len(self.runs) + 1
+        run_id = max(self.runs, default=0) + 1
         run = Entry(f"run {run_id}")
         run.children = [Entry(self.phases[n][0], children=[Entry(s) for s in self.phases[n][1]]) for n in numbers]
         run.mark("running")
         self.runs[run_id] = run
+        self._save(run_id)
         thread = threading.Thread(target=self._work, args=(run_id, numbers), daemon=True)
         self._threads[run_id] = thread
         thread.start()
@@ -122,6 +162,7 @@ class Pipeline:
         for i in ids:
             self._stop.add(i)
             self.runs[i].mark("cancelled")
+            self._save(i)
             self.spark.sparkContext.cancelJobGroup(f"run-{i}")
         return Answer(200, {"cancelled": ids})
 
@@ -136,13 +177,17 @@ class Pipeline:
 
     def _stage(self, run_id: int, entry: Entry, stage: Stage) -> None:
         entry.mark("running")
+        self._save(run_id)
         for attempt in range(1, self.attempts + 1):
             if run_id in self._stop:
                 raise Cancelled
             try:
                 self.spark.sparkContext.setJobGroup(f"run-{run_id}", entry.name, interruptOnCancel=True)
+                began = time.monotonic()
                 stage(self.state)
+                entry.logs.append(f"attempt {attempt}: finished in {time.monotonic() - began:.1f} s")
                 entry.mark("finished")
+                self._save(run_id)
                 return
             except Exception as e:
                 entry.logs.append(f"attempt {attempt}: {e}")
@@ -154,6 +199,12 @@ class Pipeline:
                 time.sleep(self.delay)
 
     def _work(self, run_id: int, numbers: list[int]) -> None:
+        try:
+            self._phases(run_id, numbers)
+        finally:
+            self._save(run_id)
+
+    def _phases(self, run_id: int, numbers: list[int]) -> None:
         run = self.runs[run_id]
         for phase, number in zip(run.children, numbers):
             phase.mark("running")

@@ -1,8 +1,8 @@
 """Byte-level work by path: digests, texts, and checks of PDFs and pictures.
 
 Everything here runs in Arrow batches on the executors and reads files in pieces of
-constant size. Libraries that may be absent (PDF, pictures) are imported where they
-are used; without them the result is null, never a guess.
+constant size (PDFs whole). Libraries that may be absent are imported where they
+are used: PDFs are read without one as well, pictures give null.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatescope.sources import pdf
+
 PIECE = 4 * 1024 * 1024
 TEXT_CAP = 8000
 TEXT_TYPES = (".txt", ".md", ".csv", ".log")
@@ -63,17 +65,25 @@ def docx_text(path: str, cap: int = TEXT_CAP) -> str:
     return "\n".join(x for x in lines if x)[:cap]
 
 
-def pdf_text(path: str, cap: int = TEXT_CAP) -> str | None:
-    """Text of the pages until the cap is reached; None without a PDF library, '' if unreadable."""
-    try:
-        from pypdf import PdfReader
-    except ImportError:
-        return None
+def _read(path: str) -> pdf.Pdf:
+    with open(path, "rb") as f:
+        return pdf.Pdf.load(f.read())
+
+
+def pdf_text(path: str, cap: int = TEXT_CAP) -> str:
+    """Text of the pages until the cap is reached; '' if unreadable. A PDF library is used where there is one."""
     parts, size = [], 0
     try:
-        for page in PdfReader(path).pages:
-            parts.append(page.extract_text() or "")
-            size += len(parts[-1]) + 1
+        try:
+            from pypdf import PdfReader
+
+            texts = (page.extract_text() or "" for page in PdfReader(path).pages)
+        except ImportError:
+            own = _read(path)
+            texts = (own.text(page) for page in own.pages())
+        for text in texts:
+            parts.append(text)
+            size += len(text) + 1
             if size >= cap:
                 break
     except Exception:
@@ -92,11 +102,15 @@ def pages_need_ocr(pages: list[dict]) -> bool:
 
 
 def pdf_needs_ocr(path: str) -> bool | None:
-    """Whether a PDF has no text layer; None if it is missing, broken or no PDF library is there."""
+    """Whether no page of a PDF has a font, so that it has no text layer; None if it is missing or broken."""
     try:
-        from pypdf import PdfReader
+        try:
+            from pypdf import PdfReader
 
-        return pages_need_ocr(list(PdfReader(path).pages))
+            return pages_need_ocr(list(PdfReader(path).pages))
+        except ImportError:
+            own = _read(path)
+            return not any(own.value(own.resources(page), b"Font") for page in own.pages())
     except Exception:
         return None
 

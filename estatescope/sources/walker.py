@@ -1,7 +1,8 @@
 """Directory walker as a Spark data source.
 
 ``spark.read.format("estate").option("path", base).load()`` lists every file below the
-base's directories, one input partition per top-level directory. Empty and hidden
+base's directories. An input partition is a directory with all below it; directories are opened level by level until
+there are enough of them, so one huge top-level folder is shared out too. Empty and hidden
 files are listed, symbolic links are not followed, unreadable folders are skipped, and
 files directly in the base are listed only with ``includeRootFiles``.
 """
@@ -20,6 +21,10 @@ from estatescope.functions import paths
 SCHEMA = "path string, name string, size long, ctime double, mtime double"
 
 
+#: Partitions aimed at, and most directories the driver opens for it.
+ENOUGH, MOST_OPENED = 64, 4096
+
+
 class _Root(InputPartition):
     def __init__(self, path: str, deep: bool):
         self.path, self.deep = path, deep
@@ -46,16 +51,27 @@ def _rows(folder: str, deep: bool) -> Iterator[tuple]:
                 continue
 
 
+def _folders(path: str) -> list[str]:
+    try:
+        return sorted(e.path for e in os.scandir(path) if e.is_dir(follow_symlinks=False) and not e.is_symlink())
+    except OSError:
+        return []
+
+
 class _Reader(DataSourceReader):
     def __init__(self, base: str, root_files: bool):
         self.base, self.root_files = base, root_files
 
     def partitions(self) -> list[_Root]:
-        try:
-            tops = [e.path for e in os.scandir(self.base) if e.is_dir(follow_symlinks=False) and not e.is_symlink()]
-        except OSError:
-            tops = []
-        return [_Root(p, True) for p in sorted(tops)] + ([_Root(self.base, False)] if self.root_files else [])
+        whole, opened = _folders(self.base), [self.base] if self.root_files else []
+        count = 1
+        while whole and len(whole) + len(opened) < ENOUGH and count < MOST_OPENED:
+            # an opened folder leaves its own files to a partition
+            opening, kept = whole[: MOST_OPENED - count], whole[MOST_OPENED - count :]
+            count += len(opening)
+            opened += opening
+            whole = [inner for path in opening for inner in _folders(path)] + kept
+        return [_Root(p, True) for p in whole] + [_Root(p, False) for p in opened]
 
     def read(self, partition: _Root) -> Iterator[tuple]:
         return _rows(partition.path, partition.deep)

@@ -54,6 +54,38 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file at once: a reader sees the old text or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, temp = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = target.getFileSystem(conf).create(temp, True)
+    out.write(text.encode())
+    out.close()
+    option = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants()[1]
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = option  # OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(temp, target, options)
+
+
+def read_texts(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
+    """Small files of a folder by name."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return {}
+    out = {}
+    for s in fs.listStatus(target):
+        name = s.getPath().getName()
+        if name.endswith(suffix):
+            stream = fs.open(s.getPath())
+            try:
+                out[name] = bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+    return out
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete the table behind a frame made by :func:`materialize`, once it is superseded."""
     path = getattr(df, "_workspace_path", None)

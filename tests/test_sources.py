@@ -197,3 +197,97 @@ def test_stream_duplicates_and_windows(spark, tmp_path):
         df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
     assert {r.correlation_id for r in spark.table("dedup").collect()} == {"c1", "c2"} and spark.table("dedup").count() == 2
     assert sorted(r.n for r in spark.table("rates").collect()) == [1, 2]
+
+
+def _pdf(pages, packed=False, font=True):
+    """A PDF of one content stream per page."""
+    import zlib
+
+    objects = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [" + b" ".join(b"%d 0 R" % (10 + 2 * i) for i in range(len(pages))) + b"] /Resources 3 0 R >>"}
+    objects[3] = b"<< /Font << /F1 4 0 R /F2 5 0 R >> >>" if font else b"<< /XObject << >> >>"
+    objects[4] = b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>"
+    objects[5] = b"<< /Type /Font /Subtype /Type0 /ToUnicode 6 0 R >>"
+    table = b"1 beginbfchar <0041> <00F1> endbfchar 1 beginbfrange <0001> <0003> <0061> endbfrange"
+    streams = {6: table, **{11 + 2 * i: c for i, c in enumerate(pages)}}
+    for i in range(len(pages)):
+        objects[10 + 2 * i] = b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (11 + 2 * i)
+    body = b""
+    if packed:
+        inner = {n: o for n, o in objects.items() if n != 1}
+        data, places = b"", []
+        for n, o in inner.items():
+            places.append(b"%d %d" % (n, len(data)))
+            data += o + b" "
+        head = b" ".join(places) + b" "
+        z = zlib.compress(head + data)
+        body += b"90 0 obj << /Type /ObjStm /N %d /First %d /Filter /FlateDecode /Length %d >> stream\n" % (len(inner), len(head), len(z)) + z + b"\nendstream endobj\n"
+        objects = {1: objects[1]}
+    for n, o in objects.items():
+        body += b"%d 0 obj\n" % n + o + b"\nendobj\n"
+    for n, c in streams.items():
+        z = zlib.compress(c)
+        body += b"%d 0 obj\n<< /Length %d /Filter /FlateDecode >>\nstream\n" % (n, len(z)) + z + b"\nendstream\nendobj\n"
+    return b"%PDF-1.5\n" + body + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+def test_pdf_texts_and_fonts(tmp_path):
+    pages = [
+        b"BT /F1 12 Tf 72 700 Td (Informe \\(a\\\\361o\\) de obra) Tj 0 -14 Td [(Im) 20 (porte) -300 (total)] TJ ET",
+        b"BT /F2 10 Tf <000100020003> Tj T* <0041> Tj ET",
+    ]
+    pages[0] = b"BT /F1 12 Tf 72 700 Td (Informe \\(a\\361o\\) de obra) Tj 0 -14 Td [(Im) 20 (porte) -300 (total)] TJ ET"
+    for packed in (False, True):
+        path = tmp_path / f"{packed}.pdf"
+        path.write_bytes(_pdf(pages, packed))
+        assert readers.pdf_text(str(path)) == "Informe (año) de obra\nImporte total\nabc\nñ"
+        assert readers.pdf_text(str(path), 7) == "Informe" and readers.pdf_needs_ocr(str(path)) is False
+    scan = tmp_path / "scan.pdf"
+    scan.write_bytes(_pdf([b"q 1 0 0 1 0 0 cm /Im0 Do Q"], font=False))
+    assert readers.pdf_needs_ocr(str(scan)) is True and readers.pdf_text(str(scan)) == ""
+    broken = tmp_path / "broken.pdf"
+    broken.write_bytes(b"no pdf at all")
+    assert readers.pdf_needs_ocr(str(broken)) is None and readers.pdf_text(str(broken)) == "" and readers.pdf_needs_ocr("/nowhere.pdf") is None
+
+
+def test_one_large_folder_is_shared_out(spark, tmp_path):
+    for i in range(30):
+        folder = tmp_path / "top" / f"d{i % 5}" / f"e{i}"
+        folder.mkdir(parents=True)
+        (folder / "f.txt").write_text("x")
+    (tmp_path / "top" / "g.txt").write_text("y")
+    (tmp_path / "root.txt").write_text("z")
+    df = walker.walk(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() > 5 and df.count() == df.select("path").distinct().count() == 31
+    assert walker.walk(spark, str(tmp_path), include_root_files=True).count() == 32
+
+
+def test_runs_outlive_the_driver(spark, tmp_path):
+    folder = "file://" + str(tmp_path / "runs")
+    p = pipeline.Pipeline(spark, {0: ("scan", {"a": lambda s: None})}, attempts=1, store=folder)
+    run = p.start().body["run_id"]
+    assert p.wait(run, 60) == "finished"
+    again = pipeline.Pipeline(spark, {0: ("scan", {"a": lambda s: None})}, attempts=1, store=folder)
+    body = again.status(run).body
+    assert body == p.status(run).body and "finished in" in body["children"][0]["children"][0]["logs"]
+    again.runs[run].mark("running")
+    again._save(run)
+    # left under way by a driver that ended
+    third = pipeline.Pipeline(spark, {0: ("scan", {"a": lambda s: None})}, attempts=1, store=folder)
+    assert third.start().code == 400 and third.status(run).body["status"] == "cancelled"
+    second = third.start().body["run_id"]
+    assert second == run + 1 and third.wait(second, 60) == "finished"
+
+
+def test_tee_cursor_and_catalog(spark):
+    import contextlib
+    import io
+
+    from estatescope.sources import tables
+
+    a, b = io.StringIO(), io.StringIO()
+    with contextlib.redirect_stdout(pipeline.Tee(a, b)):
+        print("line")
+    assert a.getvalue() == b.getvalue() == "line\n"
+    assert [len(x) for x in tables.fetch(spark.range(25), 10)] == [10, 10, 5]
+    spark.range(1).selectExpr("id", "id as Embedding").createOrReplaceTempView("listed")
+    assert tables.missing_columns(spark, "listed", "embedding", "other") == ["other"] and tables.missing_columns(spark, "none", "x") == ["x"]
