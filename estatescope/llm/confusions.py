@@ -28,6 +28,8 @@ KNOWN = (
 #: Letters of the shortest words aligned, share of the words it could touch that a new confusion must explain, and
 #: how many different ones.
 ALIGNED, SHARE, WORDS = 6, 0.05, 3
+#: Places of a word that one or two letters can be left out at, usually.
+PLACES = 16
 #: Chance that a word of a scan is misread in a given way, shared out over the confusions.
 MISREAD = 0.3
 
@@ -154,17 +156,18 @@ def _open(bitmap: Bitmap | None):
     return run
 
 
-def learn(vocabulary: DataFrame, printed: DataFrame, ratio: int) -> Confusions:
+def learn(vocabulary: DataFrame, printed: DataFrame, ratio: int, frequent_words: int) -> Confusions:
     """Confusions of a corpus.
 
     vocabulary: (word, n, low, d), n occurrences and d texts of every word; printed: the
-    words among them that may have been printed; ratio: how much more frequent a word must be than its misreading.
+    words among them that may have been printed; ratio: how much more frequent a word must be than its misreading;
+    frequent_words: about how many words occur so many times at all.
     """
     columns = "h long, part string, word string, n long, d long"
     # a word with fewer occurrences is ``ratio`` times as frequent as nothing
     frequent = printed.where((F.char_length("word") >= ALIGNED) & (F.col("n") >= ratio)).select("word", "n", "d")
     ends = frequent.mapInArrow(_open(None), columns)
-    bitmap = Bitmap.gather(ends.select("h"))
+    bitmap = Bitmap.gather(ends.select("h"), size=PLACES * frequent_words)
     rare = vocabulary.where(F.char_length("word") >= ALIGNED).select("word", "n", "d").mapInArrow(_open(bitmap), columns)
     both = rare.toDF("h", "a", "seen", "n_a", "d_a").join(ends.toDF("h", "b", "printed", "n_b", "d_b"), "h")
     often = (F.col("d_b") >= ratio * F.col("d_a")) | (F.col("n_b") >= ratio * F.col("n_a"))

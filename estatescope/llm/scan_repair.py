@@ -390,17 +390,18 @@ class ScanRepair:
         sums = [F.sum(c).alias(c) for c in ("n", "low", "d", "d_small")]
         counts = distinct.select("words", "copies").mapInArrow(_count, "word string, n long, low long, d long, d_small long")
         vocabulary = workspace.materialize(counts.groupBy("word").agg(*sums), "vocabulary")
-        total = float(vocabulary.agg(F.sum("d")).first()[0] or 1)
+        totals = vocabulary.agg(F.sum("d"), F.count("*"), F.count_if(F.col("n") >= RATIO)).first()
+        total, size = float(totals[0] or 1), int(totals[1])
         model = Letters.of(vocabulary.where(F.col("word").rlike(r"^\p{L}+$")))
-        channel = confusions.learn(vocabulary, vocabulary.where(_common() & F.col("word").rlike(r"^\p{L}+$")), RATIO)
+        channel = confusions.learn(vocabulary, vocabulary.where(_common() & F.col("word").rlike(r"^\p{L}+$")), RATIO, int(totals[2]))
         table = workspace.materialize(self._table(vocabulary, channel, model), "table")
-        bitmap = Bitmap.gather(table.select("seen").mapInArrow(_hash_words, "h long"))
+        bitmap = Bitmap.gather(table.select("seen").mapInArrow(_hash_words, "h long"), size=size)
         maybe = workspace.materialize(distinct.select("h", "text", "layout", "words").mapInArrow(_maybe(bitmap), "h binary, text string, layout boolean, suspects array<string>"), "maybe")
         held = maybe.select("h", F.explode("suspects").alias("seen")).join(table, "seen").groupBy("h").agg(F.flatten(F.collect_list("entries")).alias("entries"))
         marked = maybe.join(held, "h", "left").where("layout or entries is not null").select("h", "text", "entries")
         marked = workspace.materialize(marked, "marked")
         needed = workspace.materialize(marked.where("entries is not null").mapInArrow(_needed, "h binary, pair long").distinct(), "needed")
-        wanted = Bitmap.gather(needed.select(F.col("pair").alias("h")))
+        wanted = Bitmap.gather(needed.select(F.col("pair").alias("h")), size=needed.count())
         counted = distinct.select("words").mapInArrow(_count_pairs(wanted), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         pairs = needed.join(counted, "pair").groupBy("h").agg(F.collect_list(F.struct("pair", "n")).alias("pairs"))
         self._decoded = marked.join(pairs, "h", "left").mapInArrow(
