@@ -226,6 +226,24 @@ def classify(rows: DataFrame, ask: Callable[[str], str], attempts: int = 3, at_o
     return todo.mapInPandas(_by_row(one, ["prompt"], ["categoria", "anio", "proyecto"]), "id long, categoria string, anio string, proyecto string")
 
 
+def chat_service(url: str, system: str = "You are an expert at classifying documents.", timeout: float = 300.0, most_tokens: int = 60, **fields) -> Callable[[str], str]:
+    """A service for :func:`classify`: the chat endpoint at ``url`` is sent each prompt and its first answer returned.
+
+    An HTTP error, a time-out or an answer of another shape raises, so that the prompt is tried again.
+    """
+
+    def ask(prompt: str) -> str:
+        import json
+        from urllib.request import Request, urlopen
+
+        messages = [{"role": "system", "content": system}, {"role": "user", "content": prompt}]
+        body = {"messages": messages, "temperature": 0, "max_tokens": most_tokens, **fields}
+        with urlopen(Request(url, json.dumps(body).encode(), {"Content-Type": "application/json"}), timeout=timeout) as answer:  # noqa: S310
+            return json.loads(answer.read())["choices"][0]["message"]["content"]
+
+    return ask
+
+
 def read_jdbc(spark, url: str, table: str, **options: str) -> DataFrame:
     """Table of a database; with partitionColumn, lowerBound, upperBound and numPartitions it is read in parallel."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)

@@ -250,3 +250,20 @@ def test_nearest_over_several_query_blocks(spark, monkeypatch):
         may = [j for j in range(300) if j % 7 and (kinds[j] is None or kinds[j] == (kinds[i] or ""))]
         best = sorted(may, key=lambda j: (round(float(np.sqrt(max(0.0, 2 - 2 * u[i] @ u[j]))), 9), j))[:5]
         assert [got[i][k + 1] for k in range(len(best))] == best
+
+
+def test_captions_and_summary(spark):
+    from estatescope.operators import reports
+
+    rows = [
+        {"id": 1, "full_path": "/a/x.pdf", "is_pdf": True, "ocr_needed": True, "sha256": "s", "text_chars_extracted": 7}, {"id": 2, "full_path": "/a/b.pdf", "is_pdf": True, "sha256": "s"},
+        {"id": 3, "full_path": "/c", "sha256": "t"},
+    ]
+    files = inventory(spark, rows)
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    got = {r.id: r for r in merge.apply_captions(files, spark.createDataFrame([(1, "a boat")], "id long, text_excerpt string"), now).collect()}
+    # the number of characters stays as it was
+    assert (got[1].text_excerpt, got[1].text_chars_extracted, str(got[1].last_seen)) == ("a boat", 7, "2025-01-01 00:00:00") and got[2].text_excerpt is None and got[2].last_seen is None
+    text = reports.executive_summary(files)
+    assert text == "Files: 3 (PDF: 2, to OCR: 1)\nDuplicate groups: 1\nFiles in duplicate groups: 2\nLargest group: 2 files, b.pdf\n"
+    assert "Duplicate groups: 0" in reports.executive_summary(files.limit(0))

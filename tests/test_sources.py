@@ -291,3 +291,42 @@ def test_tee_cursor_and_catalog(spark):
     assert [len(x) for x in tables.fetch(spark.range(25), 10)] == [10, 10, 5]
     spark.range(1).selectExpr("id", "id as Embedding").createOrReplaceTempView("listed")
     assert tables.missing_columns(spark, "listed", "embedding", "other") == ["other"] and tables.missing_columns(spark, "none", "x") == ["x"]
+
+
+def test_classify_over_http(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Service(BaseHTTPRequestHandler):
+        tries = 0
+
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            prompt = asked["messages"][1]["content"]
+            Service.tries += 1
+            if prompt == "down" or prompt == "once" and Service.tries == 1:
+                return self.send_error(500)
+            answer = json.dumps({"choices": [{"message": {"content": json.dumps({"categoria": prompt, "anio": 1999})}}]}).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(answer)))
+            self.end_headers()
+            self.wfile.write(answer)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    df = spark.createDataFrame([(1, "once"), (2, "down"), (3, "Acta")], "id long, prompt string").coalesce(1)
+    ask = readers.chat_service(f"http://127.0.0.1:{server.server_port}/v1/chat", timeout=5)
+    got = {r.id: (r.categoria, r.anio, r.proyecto) for r in readers.classify(df, ask, at_once=1).collect()}
+    server.shutdown()
+    assert got == {1: ("once", "1999", "Desconocido"), 2: ("Desconocido",) * 3, 3: ("Acta", "1999", "Desconocido")}
+
+
+def test_jdbc_table_read_in_parallel(spark, tmp_path):
+    url, driver = f"jdbc:derby:{tmp_path / 'db'};create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    df = spark.range(100).selectExpr("id", "cast(id * 2 as int) as twice")
+    df.write.format("jdbc").option("url", url).option("dbtable", "numbers").option("driver", driver).save()
+    got = readers.read_jdbc(spark, url, "numbers", driver=driver, partitionColumn="id", lowerBound="0", upperBound="100", numPartitions="4")
+    assert got.rdd.getNumPartitions() == 4 and sorted(tuple(r) for r in got.collect()) == [(i, 2 * i) for i in range(100)]
