@@ -32,7 +32,7 @@ SHARD_ROWS, ASKERS = 8_000, 3
 #: Centroids whose shards are searched for each vector.
 PROBES = 2
 #: Dimensions of the projection searched, degree and beam of the graph, relaxation of its pruning.
-PROJECTION, DEGREE, BEAM, ALPHA = 128, 24, 48, 1.2
+PROJECTION, DEGREE, BEAM, ALPHA = 128, 32, 48, 1.2
 #: Parts in which the ids of one class are brought together.
 CLASS_PARTS = 1024
 
