@@ -1,7 +1,7 @@
 """Robust-pruned directed graph over the vectors of one shard, searched by beams.
 
-Points enter in growing batches. A greedy beam search through the graph so far
-proposes neighbours; of these, in order of distance, one is kept unless an already
+Points enter in growing batches, of 128 at most. A greedy beam search through the graph so far
+proposes neighbours, and so do the nearest points of the same batch, which isn't in the graph yet; of these, in order of distance, one is kept unless an already
 kept neighbour is nearer to it than ``alpha`` times shorter than the point itself
 (relaxed pruning), which leaves a few near and some far-reaching edges. Kept
 neighbours get an edge back and are pruned again where they have too many. All
@@ -101,7 +101,7 @@ def robust_prune(points: np.ndarray, owner: np.ndarray, cand: np.ndarray, degree
         alive[own] = still
 
 
-def build(points: np.ndarray, degree: int = 24, beam: int = 32, alpha: float = 1.2, batch: int = 64) -> tuple[np.ndarray, int]:
+def build(points: np.ndarray, degree: int = 24, beam: int = 32, alpha: float = 1.2, batch: int = 128) -> tuple[np.ndarray, int]:
     """(edges, medoid) of the graph over the points."""
     n = len(points)
     centre = points.mean(axis=0)
@@ -114,6 +114,12 @@ def build(points: np.ndarray, degree: int = 24, beam: int = 32, alpha: float = 1
         own = order[start : start + size]
         found, _ = beam_search(points, edges, points[own], np.full((len(own), 1), medoid), beam)
         found = np.where(found >= n, -1, found)
+        # the batch itself is not in the graph yet: neighbours within it are proposed as well
+        if len(own) > 1:
+            inner = points[own] @ points[own].T
+            np.fill_diagonal(inner, -np.inf)
+            k = min(8, len(own) - 1)
+            found = np.concatenate([found, own[np.argpartition(-inner, k - 1, axis=1)[:, :k]]], axis=1)
         edges[own] = robust_prune(points, own, found, degree, alpha)
         _add_back(points, edges, own, degree, alpha)
         start += len(own)
