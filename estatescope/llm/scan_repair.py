@@ -66,7 +66,8 @@ _ENTRY = "struct<seen:string,printed:string,d_seen:bigint,d_printed:bigint,weigh
 
 def _words(text: Column) -> Column:
     """Words of a text, those cut at a line end joined."""
-    return F.regexp_extract_all(F.regexp_replace(text, _CUT, "$1"), F.lit(_WORD), F.lit(0))
+    joined = F.when(F.contains(text, F.lit("\n")), F.regexp_replace(text, _CUT, "$1")).otherwise(text)
+    return F.regexp_extract_all(joined, F.lit(_WORD), F.lit(0))
 
 
 def _common() -> Column:
@@ -385,7 +386,8 @@ class ScanRepair:
         texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text <> ''")
         self._members = texts.select("id", F.unhex(F.md5("text")).alias("h"))
         once = texts.groupBy("text").agg(F.count("*").alias("copies"))
-        layout = F.col("text").rlike(_LAYOUT) | F.col("text").rlike(_HEADER)
+        # no trace of the layout without lines
+        layout = F.contains("text", F.lit("\n")) & (F.col("text").rlike(_LAYOUT) | F.col("text").rlike(_HEADER))
         distinct = workspace.materialize(once.select(F.unhex(F.md5("text")).alias("h"), "text", "copies", _words(F.col("text")).alias("words"), layout.alias("layout")), "distinct")
         sums = [F.sum(c).alias(c) for c in ("n", "low", "d", "d_small")]
         counts = distinct.select("words", "copies").mapInArrow(_count, "word string, n long, low long, d long, d_small long")
