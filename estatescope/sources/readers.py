@@ -2,7 +2,7 @@
 
 Everything here runs in Arrow batches on the executors and reads files in pieces of
 constant size (PDFs whole). Libraries that may be absent are imported where they
-are used: PDFs are read without one as well, pictures give null.
+are used: PDFs, and PNG, BMP and PNM pictures, are read without one as well.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatescope.sources import pdf
+from estatescope.sources import pdf, pictures
 
 PIECE = 4 * 1024 * 1024
 TEXT_CAP = 8000
@@ -134,9 +134,11 @@ def shrink(image: np.ndarray, most: int = 1024) -> np.ndarray:
 
 
 def quad_share(image: np.ndarray) -> float:
-    """Largest share of the picture that one four-cornered outline covers; needs OpenCV."""
-    import cv2
-
+    """Largest share of the picture that one four-cornered outline covers; by OpenCV where it is installed."""
+    try:
+        import cv2
+    except ImportError:
+        return pictures.outline_share(image)
     outlines, _ = cv2.findContours(cv2.Canny(image, 50, 150), cv2.RETR_EXTERNAL, cv2.CHAIN_APPROX_SIMPLE)
     area = image.shape[0] * image.shape[1]
     four = [cv2.contourArea(c) for c in outlines if len(cv2.approxPolyDP(c, 0.02 * cv2.arcLength(c, True), True)) == 4]
@@ -189,7 +191,7 @@ def read_texts(files: DataFrame, cap: int = TEXT_CAP) -> DataFrame:
     ).where("text_excerpt is not null")
 
 
-def detect_documents(files: DataFrame, decode: Callable[[str], np.ndarray | None], outline: Callable[[np.ndarray], float] = quad_share) -> DataFrame:
+def detect_documents(files: DataFrame, decode: Callable[[str], np.ndarray | None] = pictures.read_grey, outline: Callable[[np.ndarray], float] = quad_share) -> DataFrame:
     """(id) of the pictures that look like documents; ``decode`` gives the grey picture of a path or None."""
 
     def one(path):

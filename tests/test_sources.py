@@ -330,3 +330,70 @@ def test_jdbc_table_read_in_parallel(spark, tmp_path):
     df.write.format("jdbc").option("url", url).option("dbtable", "numbers").option("driver", driver).save()
     got = readers.read_jdbc(spark, url, "numbers", driver=driver, partitionColumn="id", lowerBound="0", upperBound="100", numPartitions="4")
     assert got.rdd.getNumPartitions() == 4 and sorted(tuple(r) for r in got.collect()) == [(i, 2 * i) for i in range(100)]
+
+
+def _quad(corners, high=400, wide=500, fill=180, ground=90):
+    y, x = np.mgrid[:high, :wide]
+    inside = np.ones((high, wide), bool)
+    for (ax, ay), (bx, by) in zip(corners, [*corners[1:], corners[0]]):
+        inside &= (bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0
+    return np.where(inside, fill, ground).astype(np.uint8)
+
+
+def test_outlines_without_a_library():
+    from estatescope.sources.pictures import outline_share
+
+    straight = _quad([(100, 80), (400, 80), (400, 330), (100, 330)])
+    assert abs(outline_share(straight) - 300 * 250 / 200_000) < 0.02
+    turned = _quad([(150, 60), (430, 120), (380, 350), (90, 290)])
+    assert outline_share(turned) > 0.25
+    assert outline_share(_quad([(250, 40), (450, 350), (50, 350)])) == 0.0  # three corners
+    y, x = np.mgrid[:400, :500]
+    assert outline_share(np.where((x - 250) ** 2 + (y - 200) ** 2 < 150**2, 180, 90).astype(np.uint8)) == 0.0
+    angle = np.full((400, 500), 90, np.uint8)
+    angle[50:350, 50:54] = angle[346:350, 50:450] = 200
+    assert outline_share(angle) == 0.0 and outline_share(np.full((300, 300), 128, np.uint8)) == 0.0
+    assert readers.looks_like_document(straight) and not readers.looks_like_document(np.full((400, 400), 128, np.uint8))
+
+
+def test_pictures_are_read(spark, tmp_path):
+    import struct
+    import zlib
+
+    from estatescope.sources.pictures import read_grey
+
+    grey = _quad([(100, 80), (400, 80), (400, 330), (100, 330)])
+    grey[200:220, 150:300] = np.arange(150, dtype=np.uint8)
+
+    def png(rows, kind, how):
+        high, wide = rows.shape[:2]
+        flat = rows.reshape(high, -1).astype(np.int32)
+        step = flat.shape[1] // wide
+        up = np.vstack([np.zeros((1, flat.shape[1]), np.int32), flat[:-1]])
+        left, corner = np.pad(flat, ((0, 0), (step, 0)))[:, : flat.shape[1]], np.pad(up, ((0, 0), (step, 0)))[:, : flat.shape[1]]
+        p, q, r = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+        paeth = np.where((p <= q) & (p <= r), left, np.where(q <= r, up, corner))
+        guess = [0, left, up, (left + up) // 2, paeth][how]
+        lines = np.hstack([np.full((high, 1), how), (flat - guess) & 255]).astype(np.uint8).tobytes()
+        chunk = lambda n, b: struct.pack(">I", len(b)) + n + b + b"\0\0\0\0"
+        return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", wide, high, 8, kind, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+    path = tmp_path / "x"
+    for how in range(5):
+        path.write_bytes(png(grey, 0, how))
+        assert (read_grey(str(path)) == grey).all()
+    colour = np.repeat(grey[:, :, None], 3, axis=2)
+    path.write_bytes(png(colour, 2, 4))
+    assert (read_grey(str(path)) == grey).all()
+    path.write_bytes(b"P5\n# made\n500 400\n255\n" + grey.tobytes())
+    assert (read_grey(str(path)) == grey).all()
+    bmp = b"BM" + struct.pack("<IHHI", 0, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 500, 400, 1, 24, 0, 0, 0, 0, 0, 0) + colour[::-1].tobytes()
+    path.write_bytes(bmp)
+    assert (read_grey(str(path)) == grey).all()
+    path.write_bytes(b"GIF89a")
+    assert read_grey(str(path)) is None and read_grey("/nowhere") is None
+    page, blank = tmp_path / "page.png", tmp_path / "blank.png"
+    page.write_bytes(png(grey, 0, 2))
+    blank.write_bytes(png(np.full((400, 400), 128, np.uint8), 0, 0))
+    df = spark.createDataFrame([(1, str(page)), (2, str(blank)), (3, "/nowhere")], "id long, full_path string")
+    assert [r.id for r in readers.detect_documents(df).collect()] == [1]
