@@ -17,24 +17,24 @@ def _measures() -> list:
 
 def directories(star: Star) -> DataFrame:
     """Count and size by directory level, with subtotals of every level above (grouping sets)."""
-    facts = star.facts.select("directory_id", "size_bytes").join(star.directories.select("directory_id", *_LEVELS), "directory_id")
+    facts = star.by("directories").select("directory_id", "size_bytes").join(star.directories.select("directory_id", *_LEVELS), "directory_id")
     return facts.rollup(*_LEVELS).agg(F.grouping_id().cast("int").alias("subtotal"), *_measures())
 
 
 def file_types(star: Star) -> DataFrame:
-    return star.facts.groupBy("filetype_id").agg(*_measures()).join(star.file_types, "filetype_id").select("file_type", "files", "bytes")
+    return star.by("file_types").groupBy("filetype_id").agg(*_measures()).join(star.file_types, "filetype_id").select("file_type", "files", "bytes")
 
 
 def classes(star: Star) -> DataFrame:
     """Count and size by class and day of classification."""
-    days = star.facts.groupBy("classification_id", F.to_date("last_classified").cast("string").alias("day")).agg(*_measures())
+    days = star.by("classes").groupBy("classification_id", F.to_date("last_classified").cast("string").alias("day")).agg(*_measures())
     return days.join(star.classes, "classification_id").select("categoria", "day", "files", "bytes")
 
 
 def duplicates(star: Star) -> DataFrame:
     """Per canonical file: its copies and their share of all files."""
-    groups = star.facts.where("group_id is not null").groupBy("group_id").agg(F.count("*").alias("copies"), F.count_if("is_canonical").alias("marked_canonical"))
-    total = star.facts.agg(F.count("*").alias("__all"))  # one row
+    groups = star.by("groups").where("group_id is not null").groupBy("group_id").agg(F.count("*").alias("copies"), F.count_if("is_canonical").alias("marked_canonical"))
+    total = star.by().agg(F.count("*").alias("__all"))  # one row
     return groups.join(star.groups, "group_id").join(F.broadcast(total), F.lit(True)).select(
         "canonical_id", "copies", "marked_canonical", F.round(100.0 * F.col("copies") / F.col("__all"), 6).alias("percent")
     )
@@ -42,7 +42,7 @@ def duplicates(star: Star) -> DataFrame:
 
 def integrity(star: Star) -> DataFrame:
     """Hashes that several files share, with how many and how many bytes a clean-up would free."""
-    g = star.facts.where("sha256 <> ''").groupBy("xxhash64", "sha256").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("b"), F.max("size_bytes").alias("m"))
+    g = star.by().where("sha256 <> ''").groupBy("xxhash64", "sha256").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("b"), F.max("size_bytes").alias("m"))
     return g.where("files > 1").select("xxhash64", "sha256", "files", F.coalesce(F.col("b") - F.col("m"), F.lit(0)).cast("long").alias("bytes_to_free"))
 
 
@@ -53,7 +53,7 @@ def temporal(star: Star) -> DataFrame:
     """
     events = ("first_seen", "last_seen", "last_classified")
     each = F.explode(F.array(*[F.struct(F.lit(e).alias("event"), F.date_trunc("WEEK", e).alias("w")) for e in events]))
-    weeks = star.facts.select(each.alias("e")).select("e.*").where("w is not null").groupBy("event", "w").agg(F.count("*").alias("files"))
+    weeks = star.by().select(each.alias("e")).select("e.*").where("w is not null").groupBy("event", "w").agg(F.count("*").alias("files"))
     order = Window.partitionBy("event").orderBy("w")
     return weeks.select(
         "event", F.date_format("w", "yyyy-MM-dd").alias("week"), "files",
@@ -64,7 +64,7 @@ def temporal(star: Star) -> DataFrame:
 def previews(star: Star, most: int = 200) -> DataFrame:
     """First characters of every text with name, directory and type."""
     texts = star.excerpts.select("file_id", F.substring("text_excerpt", 1, most).alias("preview"))
-    facts = star.facts.select("file_id", "name", "directory_id", "filetype_id").join(texts, "file_id")
+    facts = star.by("directories", "file_types").select("file_id", "name", "directory_id", "filetype_id").join(texts, "file_id")
     named = facts.join(star.directories.select("directory_id", "level1"), "directory_id", "left").join(star.file_types, "filetype_id", "left")
     return named.select("file_id", F.col("name").alias("file_name"), "level1", "file_type", "preview")
 
@@ -73,7 +73,7 @@ def size_by_type(star: Star) -> DataFrame:
     """Count and size by every combination of type, class and top directory (cube)."""
     # few combinations are left before the cube multiplies them
     level = star.directories.select("directory_id", "level1")
-    small = star.facts.join(level, "directory_id").groupBy("filetype_id", "classification_id", "level1").agg(*_measures())
+    small = star.by("directories", "file_types", "classes").join(level, "directory_id").groupBy("filetype_id", "classification_id", "level1").agg(*_measures())
     named = small.join(star.file_types, "filetype_id").join(star.classes, "classification_id")
     sums = [F.sum("files").cast("long").alias("files"), F.sum("bytes").cast("long").alias("bytes")]
     return named.cube("file_type", "categoria", "level1").agg(F.grouping_id().cast("int").alias("subtotal"), *sums)
@@ -81,7 +81,7 @@ def size_by_type(star: Star) -> DataFrame:
 
 def kpis(star: Star, files: DataFrame) -> DataFrame:
     """Key figures as (section, item, value): totals, what waits for OCR, duplicates, contents, files per type."""
-    facts = star.facts
+    facts = star.by("classes", "groups")
     none = star.classes.where(F.col("categoria").isin("", NO_CLASS)).select("classification_id", F.lit(True).alias("__none"))
     named = facts.join(none, "classification_id", "left").select("size_bytes", "group_id", "text_chars_extracted", "__none")
     totals = named.agg(

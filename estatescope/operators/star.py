@@ -6,7 +6,7 @@ theirs by looking the natural key up in the dimension.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,9 +92,29 @@ def fact_file_excerpts(files: DataFrame) -> DataFrame:
     return files.where("hash_pending = false and text_excerpt <> ''").select(F.col("id").alias("file_id"), "text_excerpt")
 
 
+#: Tables of the dimensions: natural key in the facts, in the dimension, and surrogate key.
+KEYS = {
+    "directories": ("directory_path", "path", "directory_id"), "file_types": ("file_type", "file_type", "filetype_id"),
+    "classes": ("categoria", "categoria", "classification_id"), "groups": ("canonical_id", "canonical_id", "group_id"),
+}
+TABLES = ("facts", "excerpts", *KEYS)
+
+
+def keyed_facts(facts: DataFrame, **dimensions: DataFrame) -> DataFrame:
+    """Facts with the keys of the dimensions given, looked up by their natural values, in place of all of these."""
+    for name, dim in dimensions.items():
+        natural, own, key = KEYS[name]
+        facts = facts.join(dim.select(key, F.col(own).alias(natural)), natural, "left")
+    keys = [KEYS[name][2] for name in dimensions]
+    return facts.select("file_id", *keys, *[c for c in facts.columns if c not in ("file_id", *keys, *(k[0] for k in KEYS.values()))])
+
+
 @dataclass(frozen=True)
 class Star:
-    """The tables of the star schema; ``facts`` point to the dimensions by key."""
+    """The tables of the star schema; ``facts`` point to the dimensions by key.
+
+    natural: the facts with natural values, where the schema is built and not yet written
+    """
 
     facts: DataFrame
     excerpts: DataFrame
@@ -102,32 +122,26 @@ class Star:
     file_types: DataFrame
     classes: DataFrame
     groups: DataFrame
+    natural: DataFrame | None = None
 
-
-def keyed_facts(facts: DataFrame, directories: DataFrame, file_types: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Facts with the keys of their dimensions in place of the natural values, looked up in each dimension."""
-    found = (
-        facts.join(directories.select("directory_id", F.col("path").alias("directory_path")), "directory_path", "left")
-        .join(file_types, "file_type", "left").join(classes, "categoria", "left").join(groups, "canonical_id", "left")
-    )
-    gone = ("directory_path", "file_type", "categoria", "canonical_id")
-    return found.select("file_id", "directory_id", "filetype_id", "classification_id", "group_id", *[c for c in facts.columns if c not in ("file_id", *gone)])
+    def by(self, *dimensions: str) -> DataFrame:
+        """Facts with the keys of some dimensions at least, without looking up the others."""
+        return self.facts if self.natural is None else keyed_facts(self.natural, **{n: getattr(self, n) for n in dimensions})
 
 
 def build(files: DataFrame) -> Star:
     """The star schema of an inventory."""
-    ready = files.where("hash_pending = false")
-    dims = dim_directory(ready), dim_filetype(ready), dim_classification(ready), dim_canonical_group(ready)
-    return Star(keyed_facts(fact_files(files), *dims), fact_file_excerpts(files), *dims)
+    ready, natural = files.where("hash_pending = false"), fact_files(files)
+    made = (dim_directory(ready), dim_filetype(ready), dim_classification(ready), dim_canonical_group(ready))
+    return Star(keyed_facts(natural, **dict(zip(KEYS, made))), fact_file_excerpts(files), *made, natural)
 
 
 def publish(files: DataFrame, folder: str) -> Star:
     """Write the star schema of an inventory below ``folder``, replacing what is there, and return the written tables."""
-    made = build(files)
-    spark = files.sparkSession
-    for f in fields(Star):
-        getattr(made, f.name).write.mode("overwrite").parquet(f"{folder}/{f.name}")
-    return Star(*(spark.read.parquet(f"{folder}/{f.name}") for f in fields(Star)))
+    made, spark = build(files), files.sparkSession
+    for name in TABLES:
+        getattr(made, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    return Star(*(spark.read.parquet(f"{folder}/{name}") for name in TABLES))
 
 
 def upsert_facts(published: DataFrame, rows: DataFrame) -> DataFrame:
