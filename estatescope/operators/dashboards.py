@@ -17,7 +17,7 @@ def _measures() -> list:
 
 def directories(star: Star) -> DataFrame:
     """Count and size by directory level, with subtotals of every level above (grouping sets)."""
-    facts = star.by("directories").select("directory_id", "size_bytes").join(star.directories.select("directory_id", *_LEVELS), "directory_id")
+    facts = star.beside("directories", *_LEVELS).select("size_bytes", *_LEVELS)
     return facts.rollup(*_LEVELS).agg(F.grouping_id().cast("int").alias("subtotal"), *_measures())
 
 
@@ -73,7 +73,7 @@ def size_by_type(star: Star) -> DataFrame:
     """Count and size by every combination of type, class and top directory (cube)."""
     # few combinations are left before the cube multiplies them
     level = star.directories.select("directory_id", "level1")
-    small = star.by("directories", "file_types", "classes").join(level, "directory_id").groupBy("filetype_id", "classification_id", "level1").agg(*_measures())
+    small = star.by("directories", "file_types", "classes").join(level, "directory_id", "left").groupBy("filetype_id", "classification_id", "level1").agg(*_measures())
     named = small.join(star.file_types, "filetype_id").join(star.classes, "classification_id")
     sums = [F.sum("files").cast("long").alias("files"), F.sum("bytes").cast("long").alias("bytes")]
     return named.cube("file_type", "categoria", "level1").agg(F.grouping_id().cast("int").alias("subtotal"), *sums)

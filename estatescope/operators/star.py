@@ -128,6 +128,14 @@ class Star:
         """Facts with the keys of some dimensions at least, without looking up the others."""
         return self.facts if self.natural is None else keyed_facts(self.natural, **{n: getattr(self, n) for n in dimensions})
 
+    def beside(self, dimension: str, *columns: str) -> DataFrame:
+        """Facts with columns of one dimension, joined by its key, or by what the key stands for before it is looked up."""
+        natural, own, key = KEYS[dimension]
+        dim = getattr(self, dimension)
+        if self.natural is None:
+            return self.facts.join(dim.select(key, *columns), key, "left")
+        return self.natural.join(dim.select(F.col(own).alias(natural), *columns), natural, "left")
+
 
 def build(files: DataFrame) -> Star:
     """The star schema of an inventory."""
