@@ -15,8 +15,10 @@ from estatescope.operators.components import components
 
 #: Queries that go through the rows together (25 MB), and those multiplied at once.
 QUERY_ROWS, STEP_ROWS = 16_384, 512
-#: Vectors per cell aimed at when all are held against all, and most rows of one side of a task.
-CELL_ROWS, PART_ROWS = 4_000, 8_192
+#: Vectors per cell aimed at when all are held against all, and about the most rows of one side of a task.
+CELL_ROWS, PART_ROWS = 16_384, 16_384
+#: Rows sent to tasks at once; rows of a task held at once against its other side, and pairs computed exactly at once.
+SENT_ROWS, LEFT_ROWS, PAIR_ROWS = 2_000, 128, 4_096
 
 
 def files_with_embeddings(files: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -139,7 +141,11 @@ def semantic_edges(files: DataFrame, embeddings: DataFrame, threshold: float = 0
 
 
 def _unit(column: pa.Array, dims: int) -> np.ndarray:
-    x = np.asarray(column.flatten()).astype(np.float64).reshape(-1, dims)
+    return _unit_rows(np.asarray(column.flatten()).reshape(-1, dims))
+
+
+def _unit_rows(rows: np.ndarray) -> np.ndarray:
+    x = rows.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -154,7 +160,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Cells:
-    """Cells around pivots; a vector at home in one is a guest of every earlier cell that may hold something within reach.
+    """Cells around pivots; a vector is sent to its own and to every other cell that may hold something within reach.
 
     Whatever lies nearest to pivot c is beyond the plane halfway to c, and within the
     largest angle of c's own vectors: what is further from either than the reach has no
@@ -170,53 +176,87 @@ class _Cells:
         score = np.clip(x @ self.pivots.T, -1.0, 1.0)
         return score, score.argmax(axis=1)
 
-    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, cell, whether it is the row's home) of every place a row is sent to."""
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of every place a row is sent to."""
         score, home = self.home(x)
         beyond = (score.max(axis=1, keepdims=True) - score) / self.gap[home] <= np.sqrt(2.0 - 2.0 * self.threshold) + 1e-6
         beyond &= np.arccos(score) <= self.angle[None, :] + np.arccos(self.threshold) + 1e-6
-        beyond &= np.arange(len(self.pivots))[None, :] < home[:, None]
         beyond[np.arange(len(x)), home] = True
-        row, cell = np.nonzero(beyond)
-        return row, cell, home[row] == cell
+        return np.nonzero(beyond)
+
+
+class _Units:
+    """What is held against what: rows parted by type, then by cell, then by hash into parts of bounded size.
+
+    Each frequent type is a bucket of its own, the other types share one, and the rows
+    of unknown type are the last. A bucket meets itself and the last one.
+    """
+
+    def __init__(self, frequent: list[str], cells: list[_Cells]):
+        self.codes, self.cells = {k: i for i, k in enumerate(frequent)}, cells
+        self.base = np.concatenate([[0], np.cumsum([len(c.pivots) for c in cells])])
+        self.splits = np.ones(self.base[-1], np.int64)
+
+    def buckets(self, kinds: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """(bucket, its rows) of a column of types."""
+        last = len(self.cells) - 1
+        of = np.array([last if k is None else self.codes.get(k, last - 1) for k in kinds.to_pylist()], np.int64)
+        for b in np.unique(of):
+            yield int(b), np.flatnonzero(of == b)
+
+    def met(self, bucket: int) -> Iterator[int]:
+        last = len(self.cells) - 1
+        return iter(range(last + 1)) if bucket == last else iter((bucket, last))
 
 
-def _measure(cells: _Cells, dims: int, guests: bool):
-    """Arrow map: (cell, n, angle), rows sent to each cell and the widest angle of those at home, per batch."""
+def _measure(units: _Units, dims: int):
+    """Arrow map: (cell, n, angle), rows at home in each cell and the widest angle of them, per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _unit(batch.column("embedding"), dims)
-            score, home = cells.home(x)
-            cell = cells.places(x)[1] if guests else home
-            n = np.bincount(cell, minlength=len(cells.pivots))
-            angle = np.zeros(len(n))
-            np.maximum.at(angle, home, np.arccos(score.max(axis=1, initial=-1.0)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n)), pa.int32()), pa.array(n, pa.int64()), pa.array(angle)], ["cell", "n", "angle"])
+            n, angle = np.zeros(units.base[-1], np.int64), np.zeros(units.base[-1])
+            for b, rows in units.buckets(batch.column("kind")):
+                score, home = units.cells[b].home(x[rows])
+                np.add.at(n, units.base[b] + home, 1)
+                np.maximum.at(angle, units.base[b] + home, np.arccos(score.max(axis=1, initial=-1.0)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n)), pa.int32()), pa.array(n), pa.array(angle)], ["cell", "n", "angle"])
 
     return run
 
 
-def _send(cells: _Cells, splits: np.ndarray, dims: int):
-    """Arrow map: rows to the tasks that compare them. A cell of s parts has a task for every two parts."""
-    first = np.concatenate([[0], np.cumsum(splits * splits)])
+def _send(units: _Units, dims: int):
+    """Arrow map: rows to the tasks that compare them, one for every two units that meet."""
+    first = np.concatenate([[0], np.cumsum(units.splits)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, cell, home = cells.places(_unit(batch.column("embedding"), dims))
-            ids = np.asarray(batch.column("id"))[row]
-            s = splits[cell]
-            part = (ids * 2654435761 % 2**32) % s
-            at = np.repeat(np.arange(len(row)), s)
-            other = np.arange(len(at)) - np.repeat(np.cumsum(s) - s, s)
-            low, high = np.minimum(part[at], other), np.maximum(part[at], other)
-            task = first[cell[at]] + low * s[at] + high
-            side = np.where(low == high, 2, (part[at] == high).astype(int))
-            take = pa.array(row[at])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(task, pa.int64()), pa.array(side, pa.int32()), pa.array(home[at]), *(batch.column(c).take(take) for c in ("id", "kind", "embedding"))],
-                ["task", "side", "home", "id", "kind", "embedding"],
-            )
+            x, ids = _unit(batch.column("embedding"), dims), np.asarray(batch.column("id"))
+            who, own, other = [], [], []
+            for b, rows in units.buckets(batch.column("kind")):
+                home = units.base[b] + units.cells[b].home(x[rows])[1]
+                unit = first[home] + (ids[rows] * 2654435761 % 2**32) % units.splits[home]
+                for t in units.met(b):
+                    row, cell = units.cells[t].places(x[rows])
+                    cell = cell + units.base[t]
+                    s = units.splits[cell]
+                    at = np.repeat(np.arange(len(row)), s)
+                    who.append(rows[row[at]])
+                    own.append(unit[row[at]])
+                    other.append(first[cell[at]] + np.arange(len(at)) - np.repeat(np.cumsum(s) - s, s))
+            if not who:
+                continue
+            who, own, other = (np.concatenate(c) for c in (who, own, other))
+            task = np.minimum(own, other) * first[-1] + np.maximum(own, other)
+            side = np.where(own == other, 2, (own > other).astype(int))
+            # a row goes to many tasks: a few of them at a time
+            for start in range(0, len(who), SENT_ROWS):
+                part = slice(start, start + SENT_ROWS)
+                take = pa.array(who[part])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(task[part], pa.int64()), pa.array(side[part], pa.int32()), *(batch.column(c).take(take) for c in ("id", "kind", "embedding"))],
+                    ["task", "side", "id", "kind", "embedding"],
+                )
 
     return run
 
@@ -225,29 +265,35 @@ def _compare(threshold: float, dims: int, forest: bool):
     """Arrow group map: pairs of one task at the threshold; with ``forest`` only as many as link what they link."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        ids, side = np.asarray(table.column("id")), np.asarray(table.column("side"))
-        home = table.column("home").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        kinds = table.column("kind").to_pylist()
+        order = np.argsort(np.asarray(table.column("id")), kind="stable")
+        ids, side = np.asarray(table.column("id"))[order], np.asarray(table.column("side"))[order]
+        kinds = table.column("kind").take(pa.array(order)).to_pylist()
         codes = {k: n for n, k in enumerate(dict.fromkeys(kinds))}
         kind, unknown = np.array([codes[k] for k in kinds], np.int64), np.array([k is None for k in kinds], bool)
-        x = _unit(table.column("embedding").combine_chunks(), dims)
-        y = x.astype(np.float32)
+        raw = table.column("embedding").combine_chunks()
+        raw = np.asarray(raw.flatten()).reshape(-1, dims)
+        # exact values are made for the pairs alone, a few thousand at a time
+        y = np.empty((len(ids), dims), np.float32)
+        for start in range(0, len(ids), 4096):
+            y[start : start + 4096] = _unit_rows(raw[order[start : start + 4096]])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        far = y[right].T if len(right) < len(y) else y.T
         label = np.arange(len(ids))
         out = []
-        for start in range(0, len(left), 512):
-            a = left[start : start + 512]
-            near = y[a] @ y[right].T >= threshold - 1e-4
-            near &= home[a][:, None] | home[right][None, :]
+        for start in range(0, len(left), LEFT_ROWS):
+            a = left[start : start + LEFT_ROWS]
+            near = y[a] @ far >= threshold - 1e-4
             near &= (kind[a][:, None] == kind[right][None, :]) | unknown[a][:, None] | unknown[right][None, :]
+            near &= (side[a][:, None] != 2) | (a[:, None] < right[None, :])
+            if forest:
+                near &= label[a][:, None] != label[right][None, :]
             i, j = np.nonzero(near)
-            i, j = a[i], right[j]
-            once = (side[i] != 2) | (i < j)
-            i, j = i[once], j[once]
-            for at in range(0, len(i), 100_000):
-                p, q = i[at : at + 100_000], j[at : at + 100_000]
-                distance = np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", x[p], x[q]), 0.0))
+            for at in range(0, len(i), PAIR_ROWS):
+                p, q = a[i[at : at + PAIR_ROWS]], right[j[at : at + PAIR_ROWS]]
+                if forest:
+                    apart = label[p] != label[q]
+                    p, q = p[apart], q[apart]
+                distance = np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", _unit_rows(raw[order[p]]), _unit_rows(raw[order[q]])), 0.0))
                 similarity = np.clip(1.0 - distance * distance / 2, -1.0, 1.0)
                 fine = similarity >= threshold
                 p, q, similarity = p[fine], q[fine], similarity[fine]
@@ -277,17 +323,23 @@ def _canonical(files: DataFrame, embeddings: DataFrame, dims: int) -> DataFrame:
 def _all_pairs(rows: DataFrame, threshold: float, dims: int, forest: bool, cell_rows: int, part_rows: int) -> DataFrame:
     """(a, b, similarity) of all rows at the threshold or above, each pair once; ``rows`` is a written table."""
     total = rows.count()
+    # types that fill a quarter of a part: at most four for every part_rows rows
+    frequent = sorted(r["kind"] for r in rows.where("kind is not null").groupBy("kind").count().where(F.col("count") >= max(1, part_rows // 4)).collect())
     # one vector for every cell_rows rows
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(max(1, -(-total // cell_rows))).select("embedding").toArrow()
-    pivots = _unit(picked.column("embedding").combine_chunks(), dims) if picked.num_rows else np.eye(1, dims)
-    cells = _Cells(pivots, threshold)
-    splits = np.ones(len(pivots), np.int64)
-    for guests in (False, True):
-        # one row per cell
-        measured = rows.mapInArrow(_measure(cells, dims, guests), "cell int, n long, angle double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("angle").alias("angle")).collect()
-        for r in measured:
-            cells.angle[r["cell"]], splits[r["cell"]] = r["angle"], max(1, -(-r["n"] // part_rows))
-    sent = rows.mapInArrow(_send(cells, splits, dims), "task long, side int, home boolean, id long, kind string, embedding array<" + rows.schema["embedding"].dataType.elementType.simpleString() + ">")
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(max(1, -(-total // cell_rows))).select("kind", "embedding").toArrow()
+    pivots: list[np.ndarray] = [np.eye(1, dims)] * (len(frequent) + 2)
+    units = _Units(frequent, [_Cells(p, threshold) for p in pivots])
+    if picked.num_rows:
+        x = _unit(picked.column("embedding").combine_chunks(), dims)
+        for b, own in units.buckets(picked.column("kind")):
+            pivots[b] = x[own]
+        units = _Units(frequent, [_Cells(p, threshold) for p in pivots])
+    # one row per cell
+    measured = rows.mapInArrow(_measure(units, dims), "cell int, n long, angle double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("angle").alias("angle")).collect()
+    for r in measured:
+        bucket = int(np.searchsorted(units.base, r["cell"], side="right")) - 1
+        units.cells[bucket].angle[r["cell"] - units.base[bucket]], units.splits[r["cell"]] = r["angle"], max(1, -(-r["n"] // part_rows))
+    sent = rows.mapInArrow(_send(units, dims), "task long, side int, id long, kind string, embedding array<" + rows.schema["embedding"].dataType.elementType.simpleString() + ">")
     return sent.groupBy("task").applyInArrow(_compare(threshold, dims, forest), "a long, b long, similarity double")
 
 

@@ -179,6 +179,24 @@ def test_connected_clusters_of_all_files(spark):
         assert len(rows) == len(got) and got == {i: heads[g] for i, g in want.items()}
 
 
+def test_rows_sent_to_be_compared(spark, monkeypatch):
+    """Vectors that no pivot parts: a row goes to the tasks of its own part only, and a few rows at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    x = np.random.default_rng(4).normal(size=(400, 64))
+    kinds = [(".pdf", ".txt")[i % 2] for i in range(400)]
+    rows = spark.createDataFrame([(i, kinds[i], [float(v) for v in x[i]]) for i in range(400)], "id long, kind string, embedding array<double>")
+
+    def count(*_):
+        return lambda table: pa.table({"a": pa.array([table.num_rows]), "b": pa.array([0]), "similarity": pa.array([0.0])})
+
+    monkeypatch.setattr(semantic, "_compare", count)
+    sizes = [r.a for r in semantic._all_pairs(rows, 0.9, 64, True, 100, 100).collect()]
+    # two types of 200 rows in four cells, so about three parts each
+    assert max(sizes) <= 250 and 400 <= sum(sizes) <= 400 * 5
+
+
 def test_tasks_and_routing(spark):
     files = spark.createDataFrame([(1, "/a")], "id long, full_path string")
     made = messages.build_tasks(files, "OCR", "t", "p").first()
