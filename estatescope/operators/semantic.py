@@ -19,6 +19,8 @@ QUERY_ROWS, STEP_ROWS = 16_384, 512
 CELL_ROWS, PART_ROWS = 16_384, 16_384
 #: Rows sent to tasks at once; rows of a task held at once against its other side, and pairs computed exactly at once.
 SENT_ROWS, LEFT_ROWS, PAIR_ROWS = 2_000, 128, 4_096
+#: Pairs of a task after which only the nearest of each row are kept.
+HELD_PAIRS = 1_000_000
 
 
 def files_with_embeddings(files: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -261,8 +263,19 @@ def _send(units: _Units, dims: int):
     return run
 
 
-def _compare(threshold: float, dims: int, forest: bool):
-    """Arrow group map: pairs of one task at the threshold; with ``forest`` only as many as link what they link."""
+def _nearest_of(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest ``b`` of every ``a``, of equal distances the smaller id first."""
+    order = np.lexsort((b, np.round(np.sqrt(np.maximum(2.0 - 2.0 * s, 0.0)), 9), a))
+    a, b, s = a[order], b[order], s[order]
+    start = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
+    few = np.arange(len(a)) - np.repeat(start, np.diff(np.append(start, len(a)))) < k
+    return a[few], b[few], s[few]
+
+
+def _compare(threshold: float, dims: int, k: int | None):
+    """Arrow group map: pairs of one task at the threshold; without ``k`` each once, and only as many as link what they
+    link; with ``k`` from either side that may see the other, and only the k nearest of each."""
+    forest = k is None
 
     def run(table: pa.Table) -> pa.Table:
         order = np.argsort(np.asarray(table.column("id")), kind="stable")
@@ -279,7 +292,8 @@ def _compare(threshold: float, dims: int, forest: bool):
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         far = y[right].T if len(right) < len(y) else y.T
         label = np.arange(len(ids))
-        out = []
+        bare = np.where(unknown, codes.get("", -1), kind)
+        out, held, kept_pairs = [], 0, 0
         for start in range(0, len(left), LEFT_ROWS):
             a = left[start : start + LEFT_ROWS]
             near = y[a] @ far >= threshold - 1e-4
@@ -307,8 +321,18 @@ def _compare(threshold: float, dims: int, forest: bool):
                             label[np.isin(label, met)] = label[p[row[0]]]
                     kept = np.concatenate(keep) if keep else np.zeros(0, np.int64)
                     p, q, similarity = p[kept], q[kept], similarity[kept]
+                if not forest:
+                    # whose type is unknown sees what has none, and all see it
+                    to, fro = unknown[q] | (bare[p] == bare[q]), unknown[p] | (bare[p] == bare[q])
+                    p, q, similarity = (np.concatenate([p[to], q[fro]]), np.concatenate([q[to], p[fro]]), np.concatenate([similarity[to], similarity[fro]]))
                 out.append((ids[p], ids[q], similarity))
+                held += len(p)
+                if not forest and held > HELD_PAIRS + kept_pairs:
+                    out = [_nearest_of(*(np.concatenate(c) for c in zip(*out)), k)]
+                    held = kept_pairs = len(out[0][0])
         a, b, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        if not forest:
+            a, b, s = _nearest_of(a, b, s, k)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
     return run
@@ -320,8 +344,8 @@ def _canonical(files: DataFrame, embeddings: DataFrame, dims: int) -> DataFrame:
     return kinds.join(usable_vectors(embeddings, dims).withColumnRenamed("file_id", "id"), "id").select("id", "kind", "embedding")
 
 
-def _all_pairs(rows: DataFrame, threshold: float, dims: int, forest: bool, cell_rows: int, part_rows: int) -> DataFrame:
-    """(a, b, similarity) of all rows at the threshold or above, each pair once; ``rows`` is a written table."""
+def _all_pairs(rows: DataFrame, threshold: float, dims: int, k: int | None, cell_rows: int, part_rows: int) -> DataFrame:
+    """(a, b, similarity) of all rows at the threshold or above, as :func:`_compare` has them; ``rows`` is a written table."""
     total = rows.count()
     # types that fill a quarter of a part: at most four for every part_rows rows
     frequent = sorted(r["kind"] for r in rows.where("kind is not null").groupBy("kind").count().where(F.col("count") >= max(1, part_rows // 4)).collect())
@@ -340,19 +364,17 @@ def _all_pairs(rows: DataFrame, threshold: float, dims: int, forest: bool, cell_
         bucket = int(np.searchsorted(units.base, r["cell"], side="right")) - 1
         units.cells[bucket].angle[r["cell"] - units.base[bucket]], units.splits[r["cell"]] = r["angle"], max(1, -(-r["n"] // part_rows))
     sent = rows.mapInArrow(_send(units, dims), "task long, side int, id long, kind string, embedding array<" + rows.schema["embedding"].dataType.elementType.simpleString() + ">")
-    return sent.groupBy("task").applyInArrow(_compare(threshold, dims, forest), "a long, b long, similarity double")
+    return sent.groupBy("task").applyInArrow(_compare(threshold, dims, k), "a long, b long, similarity double")
 
 
 def nearest_edges(files: DataFrame, embeddings: DataFrame, threshold: float = 0.9, k: int = 20, dims: int = 384) -> DataFrame:
     """(id, other, similarity) of every canonical file and those of its k nearest (itself counted) at the threshold."""
     rows = workspace.materialize(_canonical(files, embeddings, dims), "vectors")
-    pairs = workspace.materialize(_all_pairs(rows, threshold, dims, False, CELL_ROWS, PART_ROWS), "pairs")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
-    kinds = rows.select("id", "kind")
-    seen = both.join(kinds.toDF("a", "kind_a"), "a").join(kinds.toDF("b", "kind_b"), "b").where("kind_b is null or kind_b = coalesce(kind_a, '')")
-    own = kinds.where("kind is null or kind = coalesce(kind, '')").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    # the k nearest of every task a row was in, without itself
+    seen = _all_pairs(rows, threshold, dims, k, CELL_ROWS, PART_ROWS)
+    own = rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     distance = F.round(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("similarity"))), 9)
-    ranked = seen.select("a", "b", "similarity").unionByName(own).groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(distance.alias("d"), "b", "similarity"))), 1, k).alias("n"))
+    ranked = seen.unionByName(own).groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(distance.alias("d"), "b", "similarity"))), 1, k).alias("n"))
     listed = ranked.select(F.col("a").alias("id"), F.explode("n").alias("n")).select("id", F.col("n.b").alias("other"), F.round("n.similarity", 6).alias("similarity"))
     return listed.where("id <> other")
 
@@ -375,7 +397,7 @@ def connected_clusters(
     rows = workspace.materialize(every.join(classes.where("id = rep").select("id"), "id", "left_semi"), "vectors")
     workspace.discard(every)
     # written once: which pairs link a task's rows depends on the order they arrive in
-    pairs = workspace.materialize(_all_pairs(rows, threshold, dims, True, cell_rows, part_rows).select("a", "b"), "pairs")
+    pairs = workspace.materialize(_all_pairs(rows, threshold, dims, None, cell_rows, part_rows).select("a", "b"), "pairs")
     # a copy hangs on the first of its class, so no round of the components sees a class as a hub
     linked = components(pairs)
     big = classes.groupBy("rep").agg(F.count("*").alias("n"))
@@ -396,24 +418,35 @@ def greedy_clusters(edges: DataFrame, files: DataFrame, most_edges: int = 5_000_
     """
     from estatescope.operators.dedup import preference
 
-    rows = edges.select("id", "other").distinct().limit(most_edges + 1).collect()
-    if len(rows) > most_edges:
+    spark = edges.sparkSession
+    table = edges.select("id", "other").distinct().limit(most_edges + 1).toArrow()
+    if table.num_rows > most_edges:
         raise ValueError(f"more than {most_edges} edges")
-    near: dict[int, set[int]] = {}
-    for r in rows:
-        near.setdefault(r["id"], {r["id"]}).add(r["other"])
-    touched = edges.sparkSession.createDataFrame([(i,) for i in {x for s in near.values() for x in s}] or [(None,)], "id long")
-    ranks = {r["id"]: tuple(r["r"]) for r in files.join(touched, "id", "left_semi").select("id", preference().alias("r")).collect()}
-    clustered: set[int] = set()
-    out: dict[int, tuple[bool, int | None]] = {}
-    for seed in sorted(near):
-        if seed in clustered:
+    # numbers in arrays: rows as objects would be ten times as large
+    seeds, others = (np.asarray(table.column(c), np.int64) for c in ("id", "other"))
+    order = np.lexsort((others, seeds))
+    seeds, others = seeds[order], others[order]
+    touched = np.union1d(seeds, others)
+    ids = spark.createDataFrame(pa.table({"id": pa.array(touched)})) if len(touched) else spark.createDataFrame([], "id long")
+    ranks = files.join(ids, "id", "left_semi").select("id", preference().alias("r")).select("id", "r.*").toArrow().to_pandas()
+    ranks = ranks.sort_values(["q", "s", "y", "d", "i"], kind="stable")
+    # place in order of preference; -1 is no file
+    place = np.full(len(touched), -1, np.int64)
+    place[np.searchsorted(touched, ranks["id"].to_numpy(np.int64))] = np.arange(len(ranks))
+    seed_at, first = np.unique(seeds, return_index=True)
+    last = np.append(first[1:], len(seeds))
+    seed_at, others = np.searchsorted(touched, seed_at), np.searchsorted(touched, others)
+    clustered, head = np.zeros(len(touched), bool), np.full(len(touched), -1, np.int64)
+    for seed, start, end in zip(seed_at.tolist(), first.tolist(), last.tolist()):
+        if clustered[seed]:
             continue
-        group = [x for x in near[seed] if x in ranks]
+        group = np.unique(np.append(others[start:end], seed))
+        group = group[place[group] >= 0]
         if len(group) < 2:
             continue
-        head = max(group, key=ranks.__getitem__)
-        for x in group:
-            out[x] = (x == head, None if x == head else head)
-        clustered |= set(group)
-    return edges.sparkSession.createDataFrame([(i, c, p) for i, (c, p) in sorted(out.items())], "id long, is_canonical boolean, canonical_id long")
+        head[group] = group[place[group].argmax()]
+        clustered[group] = True
+    got = np.flatnonzero(head >= 0)
+    own = touched[head[got]] == touched[got]
+    out = pa.table({"id": pa.array(touched[got]), "is_canonical": pa.array(own), "canonical_id": pa.array(touched[head[got]], mask=own)})
+    return spark.createDataFrame(out) if len(got) else spark.createDataFrame([], "id long, is_canonical boolean, canonical_id long")

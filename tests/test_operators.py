@@ -192,11 +192,36 @@ def test_rows_sent_to_be_compared(spark, monkeypatch):
         return lambda table: pa.table({"a": pa.array([table.num_rows]), "b": pa.array([0]), "similarity": pa.array([0.0])})
 
     monkeypatch.setattr(semantic, "_compare", count)
-    sizes = [r.a for r in semantic._all_pairs(rows, 0.9, 64, True, 100, 100).collect()]
+    sizes = [r.a for r in semantic._all_pairs(rows, 0.9, 64, None, 100, 100).collect()]
     # two types of 200 rows in four cells, so about three parts each
     assert max(sizes) <= 250 and 400 <= sum(sizes) <= 400 * 5
 
 
+def test_nearest_edges_stay_bounded(spark, monkeypatch):
+    """Many equal vectors: a task keeps the nearest of each row only, and types decide who sees whom."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30, 8))[rng.integers(0, 30, 300)] + 0.1 * rng.normal(size=(300, 8))
+    x[60:260] = np.eye(8)[0]
+    kinds = [None if i % 11 == 0 else ("", ".pdf", ".txt")[i % 3] for i in range(300)]
+    files = spark.createDataFrame([(i, kinds[i]) for i in range(300)], "id long, file_type string").withColumn("canonical_id", F.lit(None).cast("long"))
+    vectors = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(300)], "file_id long, embedding array<double>")
+    monkeypatch.setattr(semantic, "HELD_PAIRS", 100)
+    got = {}
+    for r in semantic.nearest_edges(files, vectors, 0.9, 6, 8).collect():
+        got.setdefault(r.id, set()).add(r.other)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    d = np.round(np.sqrt(np.maximum(2 - 2 * u @ u.T, 0)), 7)
+    for i in range(300):
+        d[i, i] = 0
+        may = [j for j in range(300) if u[i] @ u[j] >= 0.9 and (kinds[j] is None or kinds[j] == (kinds[i] or "") or i == j)]
+        assert got.get(i, set()) == set(sorted(may, key=lambda j: (d[i, j], j))[:6]) - {i}
+    wide = semantic._canonical(files, vectors, 8)
+    # 200 equal vectors make about 9,000 pairs; a row is in two tasks at most here
+    assert semantic._all_pairs(wide, 0.9, 8, 6, 400, 400).count() <= 2 * 6 * 300
+
+
 def test_tasks_and_routing(spark):
     files = spark.createDataFrame([(1, "/a")], "id long, full_path string")
     made = messages.build_tasks(files, "OCR", "t", "p").first()
