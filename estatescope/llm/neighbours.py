@@ -6,7 +6,9 @@ search, its own members and the vectors whose next-nearest centroids it holds. B
 sides of a task are bounded: a cell of many members is split into shards, and where many vectors ask a shard, further tasks
 build the same graph and answer a part of them each. Every task is a partition of its own. The
 search runs on a projection; what it finds is ranked again on the full vectors,
-and the answers of the shards of one vector are merged. Files of one vector are one
+and the answers of the shards of one vector are merged. The more cells there are, the
+more near vectors lie in cells that do not ask each other; so the vectors linked by what the
+shards found form groups of bounded size, and all of a group are held against each other. Files of one vector are one
 point: the first of them is searched, and all get the smallest ids of their own
 class and then those of the classes found.
 """
@@ -33,6 +35,10 @@ SHARD_ROWS, ASKERS = 8_000, 3
 PROBES = 2
 #: Dimensions of the projection searched, degree and beam of the graph, relaxation of its pruning.
 PROJECTION, DEGREE, BEAM, ALPHA = 128, 24, 48, 1.2
+#: Linked is what is no further than the nearest of all but this share of the vectors.
+UNLINKED = 0.02
+#: Steps a group reaches, most of a group held against each other, and vectors of groups per task.
+STEPS, GROUP_ROWS, BIN_ROWS = 3, 2_048, 4_096
 #: Parts in which the ids of one class are brought together.
 CLASS_PARTS = 1024
 
@@ -244,6 +250,72 @@ def _search(k: int, dims: int):
     return run
 
 
+def _homes(centroids: np.ndarray, dims: int):
+    """Arrow map: the cell of every vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = _nearest_cells(batch, centroids, 1, dims)
+            yield pa.RecordBatch.from_arrays([batch.column("file_id"), pa.array(cells[:, 0], pa.int32())], ["file_id", "cell"])
+
+    return run
+
+
+def _groups(found: DataFrame, homes: DataFrame) -> DataFrame:
+    """(file_id, name) of vectors that are linked by what the shards found: all within a few steps of one vector, which
+    has the least number around, share its number. Groups of one cell, whose shards all asked each other, are left out."""
+    best = found.groupBy("file_id").agg(F.max("similarity").alias("s"))
+    least = (best.approxQuantile("s", [UNLINKED], 0.002) or [1.0])[0]
+    near = found.where(F.col("similarity") >= least).select("file_id", "other")
+    links = workspace.materialize(near.unionByName(near.select(F.col("other").alias("file_id"), F.col("file_id").alias("other"))).distinct(), "links")
+    names = links.select("file_id").distinct().select("file_id", F.xxhash64("file_id").alias("name"))
+    for _ in range(STEPS):
+        told = links.join(names.withColumnRenamed("file_id", "other"), "other").select("file_id", "name")
+        names = workspace.materialize(names.unionByName(told).groupBy("file_id").agg(F.min("name").alias("name")), "names")
+    spread = names.join(homes, "file_id").groupBy("name").agg(F.count("*").alias("n"), F.min("cell").alias("low"), F.max("cell").alias("high")).where("low <> high")
+    parts = F.pmod(F.xxhash64("name", "file_id"), F.ceil(F.col("n") / GROUP_ROWS))
+    return names.join(spread, "name").select("file_id", F.xxhash64("name", parts).alias("name"))
+
+
+def _within(k: int, dims: int):
+    """The k best others of every vector in its own group, by full-precision products of all pairs."""
+
+    def run(table: pa.Table) -> pa.Table:
+        name, ids = np.asarray(table.column("name")), np.asarray(table.column("file_id"))
+        order = np.lexsort((ids, name))
+        name, ids, raw = name[order], ids[order], matrix(table.column("v"), dims)
+        edges = np.append(np.flatnonzero(np.append(True, name[1:] != name[:-1])), len(ids))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for start, end in zip(edges[:-1], edges[1:]):
+            if end - start < 2:
+                continue
+            full, own = unit(raw[order[start:end]]), ids[start:end]
+            for at in range(0, len(own), 512):
+                similarity = full[at : at + 512] @ full.T
+                row = np.arange(len(similarity))
+                similarity[row, at + row] = -9.0
+                # what is left out is further than the k best by more than rounding
+                few = min(k + 5, len(own))
+                other = np.argpartition(-similarity, few - 1, axis=1)[:, :few]
+                similarity = np.einsum("ijk,ik->ij", full[other], full[at : at + 512])
+                similarity[other == (at + row)[:, None]] = -9.0
+                best = np.lexsort((own[other], -similarity), axis=1)[:, : min(k, len(own) - 1)]
+                other, similarity = np.take_along_axis(other, best, 1), np.take_along_axis(similarity, best, 1)
+                out.append((np.repeat(own[at : at + 512], other.shape[1]), own[other].ravel(), similarity.ravel()))
+        a, b, s = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"file_id": a, "other": b, "similarity": s})
+
+    return run
+
+
+def _across(rows: DataFrame, found: DataFrame, centroids: np.ndarray, total: int, k: int, dims: int) -> DataFrame:
+    """What the shards found, and the best of the groups it links: near vectors whose cells differ, however many cells there are."""
+    bins = max(1, math.ceil(total / BIN_ROWS))
+    grouped = rows.select("file_id", "v").join(_groups(found, rows.select("file_id", "v").mapInArrow(_homes(centroids, dims), "file_id long, cell int")), "file_id").withColumn("bin", F.pmod("name", F.lit(bins)))
+    within = grouped.select("bin", "name", "file_id", "v").groupBy("bin").applyInArrow(_within(k, dims), "file_id long, other long, similarity double")
+    return found.unionByName(within)
+
+
 def nearest(
     df: DataFrame, k: int = 5, key: str = "file_id", vector: str = "embedding", dims: int = 384,
     sample_rows: int = SAMPLE_ROWS, shard_rows: int = SHARD_ROWS, probes: int = PROBES,
@@ -277,7 +349,11 @@ def nearest(
     routed = rows.select("file_id", "v").mapInArrow(_route(centroids, splits, slices, probes, dims), "task int, file_id long, member boolean, asks boolean, v array<float>")
     # the number of a task is the number of its partition, so no two share one
     found = routed.repartitionById(int((splits * slices).sum()), F.col("task")).mapInArrow(_by_task(_search(k, dims)), "file_id long, other long, similarity double")
-    # at most k answers of each of the few shards asked; of a neighbour found twice the best counts
+    if len(centroids) > 1:
+        # the vectors sent to the shards are the largest of all intermediate data
+        found = workspace.materialize(found, "found", free=True)
+        found = _across(rows, found, centroids, total, k, dims)
+    # at most k answers of each of the few shards asked and of the group; of a neighbour found twice the best counts
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("d"), "other")))
     once = F.filter("all", lambda x, i: ~F.exists(F.slice("all", 1, i), lambda y: y["other"] == x["other"]))
     best = found.groupBy("file_id").agg(ranked.alias("all")).select("file_id", F.slice(once, 1, k).alias("best"))

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -37,11 +38,19 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of the written table."""
+def materialize(df: DataFrame, label: str, codec: str = "zstd", free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of the written table; with ``free`` Spark removes the shuffle
+    files of the write at once."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(_FREE, None)
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._workspace_path = path
     return out

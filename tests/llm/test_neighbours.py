@@ -87,3 +87,18 @@ def test_many_askers_and_ids_of_several_vectors(spark, monkeypatch):
     assert set(by) == set(range(900)) and all(len({o for _, o in v}) == 5 and sorted(p for p, _ in v) == [1, 2, 3, 4, 5] for v in by.values())
     best = truth(x, 5)
     assert np.mean([len({o for _, o in by[i]} & set(best[i])) / 5 for i in range(900)]) > 0.9
+
+
+def test_near_vectors_of_cells_that_do_not_ask_each_other(spark):
+    # groups of ten in no order that centroids could follow, and many small cells
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 96))[np.arange(4000) // 10] + 0.7 * rng.normal(size=(4000, 96))
+    df = spark.createDataFrame([(int(i), [float(v) for v in x[i]]) for i in range(4000)], "file_id long, embedding array<float>")
+    x = x.astype(np.float32).astype(np.float64)
+    best = truth(x / np.linalg.norm(x, axis=1, keepdims=True), 5)
+    by = {}
+    for r in nearest(df, 5, dims=96, sample_rows=2000, shard_rows=60).collect():
+        by.setdefault(r.file_id, []).append((r.place, r.other))
+    assert set(by) == set(range(4000)) and all(sorted(p for p, _ in v) == [1, 2, 3, 4, 5] for v in by.values())
+    recall = np.mean([len({o for _, o in by[i]} & set(best[i])) / 5 for i in range(4000)])
+    assert recall > 0.92, recall
